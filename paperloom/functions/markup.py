@@ -11,6 +11,7 @@ import html
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 from paperloom.functions.text import strip_text
 
@@ -35,7 +36,7 @@ def plain_markup(fragment: Column) -> Column:
     return F.regexp_replace(fragment, r"(?s)<[^>]*>", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _decoded(fragments: pd.Series) -> pd.Series:
     return fragments.map(html.unescape, na_action="ignore")
 

@@ -11,6 +11,16 @@ PREPRINT_COLUMNS = ("DOI", "Title", "Authors", "Abstract", "Section", "Date")
 JOURNAL_COLUMNS = ("DOI", "Title", "Authors", "Abstract", "Journal", "Date")
 
 
+def computed_once(rows: DataFrame, keep, columns: list[Column]) -> DataFrame:
+    """`keep` plus the given columns, each evaluated once per row.
+
+    A filter on plain projected columns is pushed below the projection together
+    with a copy of their expressions, which repeats costly extracts. A one-row
+    generator stops that and adds neither rows nor a shuffle.
+    """
+    return rows.select(*keep, F.inline(F.array(F.struct(*columns))))
+
+
 def first_missing(required) -> Column:
     """Name of the first required field that is null or empty, in the given order; null when complete."""
     return F.coalesce(*[F.when(F.col(f).isNull() | (F.col(f) == ""), F.lit(f)) for f in required])

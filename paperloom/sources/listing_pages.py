@@ -8,6 +8,7 @@ from paperloom.functions.dates import dateline_date
 from paperloom.functions.links import absolute_link, doi_from_url, listing_page_no, section_of
 from paperloom.functions.markup import attribute, class_pattern, decoded, inner, plain_markup, text_of, without_comments
 from paperloom.functions.text import strip_text
+from paperloom.operators.records import computed_once
 from paperloom.operators.skew import lookup_join
 from paperloom.session import materialise
 
@@ -43,19 +44,30 @@ def section_names(sections: dict[str, str] = SECTIONS):
     return F.element_at(table, F.col("section_url"))
 
 
+def _pieces(page_id: str):
+    """The article list of each page, cut before every heading; the first piece holds no entry."""
+    body = inner(without_comments(F.col("html")), _LIST_START, "</dl>")
+    return [
+        F.col(page_id).alias("page_id"),
+        section_of(F.col("url")).alias("section_url"),
+        listing_page_no(F.col("url")).alias("page_no"),
+        F.split(body, r"(?i)<dt\b", -1).alias("pieces"),
+    ]
+
+
+def page_sizes(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
+    """(section_url, page_no, n_entries) of every saved listing page."""
+    cut = pages.select(*_pieces(page_id))
+    return cut.select("section_url", "page_no", F.greatest(F.size("pieces") - 1, F.lit(0)).alias("n_entries"))
+
+
 def listing_entries(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
     """One row per list entry of the saved listing pages (page_id, url, html).
 
     An entry takes the first description after its own heading, even when the
     next heading stands in between.
     """
-    body = inner(without_comments(F.col("html")), _LIST_START, "</dl>")
-    cut = pages.select(
-        F.col(page_id).alias("page_id"),
-        section_of(F.col("url")).alias("section_url"),
-        listing_page_no(F.col("url")).alias("page_no"),
-        F.split(body, r"(?i)<dt\b", -1).alias("pieces"),
-    )
+    cut = pages.select(*_pieces(page_id))
     described = r"(?i)<dd\b"
 
     def entry(piece, place):
@@ -81,27 +93,22 @@ def listing_entries(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
 
 def listing_articles(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
     """Articles named on listing pages; an entry without both links, a description and a title is dropped."""
-    links = listing_entries(pages, page_id).select(
-        "*",
+    entries = listing_entries(pages, page_id)
+    place = ("page_id", "section_url", "page_no", "entry_no")
+    found = [
         _titled_link(F.col("heading"), "Abstract").alias("abs_path"),
         _titled_link(F.col("heading"), "View HTML").alias("html_url"),
         inner(F.col("description"), _TITLE_DIV, "</div>").alias("title_markup"),
         F.regexp_extract_all("description", F.lit(rf"(?is){_AUTHORS_DIV}(.*?)(?:</div>|\z)"), F.lit(1)).alias("name_divs"),
-    )
-    complete = links.where(
-        F.col("abs_path").isNotNull()
-        & F.col("html_url").isNotNull()
-        & F.col("description").isNotNull()
-        & F.col("title_markup").isNotNull()
+    ]
+    complete = computed_once(entries, place, found).where(
+        F.col("abs_path").isNotNull() & F.col("html_url").isNotNull() & F.col("title_markup").isNotNull()
     )
     anchors = F.regexp_extract_all(F.array_join("name_divs", " "), F.lit(r"(?is)<a\b[^>]*>(.*?)</a>"), F.lit(1))
     names = F.array_join(F.transform(anchors, lambda a: strip_text(plain_markup(a))), ", ")
     title = strip_text(F.replace(decoded(plain_markup(F.col("title_markup"))), F.lit("Title:"), F.lit("")))
     return complete.select(
-        "page_id",
-        "section_url",
-        "page_no",
-        "entry_no",
+        *place,
         "abs_path",
         "html_url",
         doi_from_url(F.col("abs_path")).alias("DOI"),
@@ -158,6 +165,12 @@ def unbroken_pages(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
     return filled.withColumn("place", place).where(F.col("place") == F.col("page_no") + 1).drop("place")
 
 
+def within_reach(articles: DataFrame, pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
+    """Articles on listing pages that page turning reaches."""
+    reached = unbroken_pages(page_sizes(pages), max_pages)
+    return articles.join(reached, ["section_url", "page_no"], "left_semi")
+
+
 def cap_per_section(articles: DataFrame, n: int = MAX_PER_SECTION, section: str = "section_url") -> DataFrame:
     """The first n valid articles of each section in page and entry order; each task keeps only n before the shuffle."""
     order = W.partitionBy(section).orderBy("page_no", "entry_no", "page_id")

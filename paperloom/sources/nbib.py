@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paperloom.functions.dates import citation_date
 from paperloom.functions.text import SPACE_CLASS, strip_text
-from paperloom.operators.records import complete_records
+from paperloom.operators.records import complete_records, computed_once
 
 # A tagged line, and the tag that fills each field.
 TAGGED_LINE = r"^([A-Z]{2,4})[^\S\n]*-[^\S\n]*([^\n]*)"
@@ -71,8 +71,7 @@ def nbib_records(texts: DataFrame, keep=("path",), text_col: str = "text") -> Da
     doi = F.when(F.size(marked) > 0, F.get(F.split(F.element_at(marked, -1)["raw"], " ", -1), F.lit(0)))
     first_abstract = _first(F.col("Abstract_lines"))["value"]
     later_lines = F.filter(F.transform("Abstract_lines", lambda x: F.replace(x["rest"], F.lit("\n"), F.lit(" "))), lambda r: r != "")
-    return parts.select(
-        *keep,
+    fields = [
         F.coalesce(doi, _first(F.col("DOI_lines"))["value"]).alias("DOI"),
         _first(F.col("Title_lines"))["value"].alias("Title"),
         F.when(
@@ -83,7 +82,8 @@ def nbib_records(texts: DataFrame, keep=("path",), text_col: str = "text") -> Da
         ).alias("Abstract"),
         _first(F.col("Journal_lines"))["value"].alias("Journal"),
         F.when(F.size("Date_lines") > 0, F.element_at("Date_lines", -1)["raw"]).alias("raw_date"),
-    ).withColumn("Date", citation_date(F.col("raw_date")))
+    ]
+    return computed_once(parts, keep, fields).withColumn("Date", citation_date(F.col("raw_date")))
 
 
 def nbib_articles(texts: DataFrame, keep=("path",), text_col: str = "text") -> DataFrame:

@@ -32,7 +32,7 @@ def write_delimited(articles: DataFrame, path: str, separator: str = "\t", mode:
 
 
 def read_delimited(spark: SparkSession, path: str, columns=PREPRINT_COLUMNS, separator: str = "\t") -> DataFrame:
-    """Delimited text with a header and possibly quoted line breaks; an unquoted empty field is null."""
+    """Delimited text with a header and possibly quoted line breaks; an empty field is missing, hence null."""
     reader = spark.read.schema(article_schema(columns)).options(**_DIALECT)
     return reader.option("sep", separator).option("multiLine", True).csv(path)
 
