@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 MAX_FREQUENT_KEYS = 50_000
-MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def key_counts(rows: DataFrame, key: str) -> DataFrame:
@@ -49,7 +49,3 @@ def lookup_join(
     cold_rows = rows.join(F.broadcast(hot), key, "left_anti").join(table, key, how)
     return hot_rows.unionByName(cold_rows)
 
-
-def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether a table is small enough to broadcast; counts at most max_rows + 1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from paperloom.operators.ordering import numbered
 from paperloom.operators.skew import lookup_join
-from paperloom.session import materialise
 
 WEIGHTINGS = ("freq", "binary", "tfidf")
-UNIT_COLUMNS = {w: f"unit_{w}" for w in WEIGHTINGS}
 
 
 def check_weighting(weighting: str) -> None:
@@ -42,49 +41,41 @@ def with_idf(counts: DataFrame, term_df: DataFrame) -> DataFrame:
     return lookup_join(counts, term_df.select("term", "idf"), "term", "inner", counts=sizes)
 
 
-def unit_weights(counts_idf: DataFrame) -> DataFrame:
-    """Unit-length weight of every posting under each weighting.
+def raw_weight(weighting: str) -> Column:
+    """Weight of a posting before scaling: its count, 1, or count times idf."""
+    check_weighting(weighting)
+    tf = F.col("tf").cast("double")
+    return {"freq": tf, "binary": F.lit(1.0), "tfidf": tf * F.col("idf")}[weighting]
 
-    One shuffle by document serves all three norms; a document's postings are
-    bounded by its own text, and the window spills.
+
+def unit_weight(weighting: str) -> Column:
+    """Weight of a posting scaled so that its document has length 1."""
+    return raw_weight(weighting) / F.col(f"norm_{weighting}")
+
+
+def with_norms(counts_idf: DataFrame) -> DataFrame:
+    """Add the row length of the document under each weighting to its postings.
+
+    One shuffle by document serves all three; a document's postings are bounded
+    by its own text, and the window spills. Norms repeat within a document and
+    idf values within a frequency, so the columns shrink to almost nothing in
+    Parquet, which three columns of scaled weights would not.
     """
     doc = W.partitionBy("doc_id")
-    tf, raw = F.col("tf"), F.col("tf") * F.col("idf")
-    return counts_idf.select(
-        "doc_id",
-        "term",
-        "tf",
-        (tf / F.sqrt(F.sum(tf * tf).over(doc))).alias(UNIT_COLUMNS["freq"]),
-        (F.lit(1.0) / F.sqrt(F.count(F.lit(1)).over(doc))).alias(UNIT_COLUMNS["binary"]),
-        (raw / F.sqrt(F.sum(raw * raw).over(doc))).alias(UNIT_COLUMNS["tfidf"]),
-    )
+
+    def norm(weighting):
+        return F.sqrt(F.sum(raw_weight(weighting) * raw_weight(weighting)).over(doc)).alias(f"norm_{weighting}")
+
+    return counts_idf.select("doc_id", "term", "tf", "idf", *[norm(w) for w in WEIGHTINGS])
 
 
 def document_norms(counts_idf: DataFrame) -> DataFrame:
-    """Row length per document under each weighting."""
-    raw = F.col("tf") * F.col("idf")
-    return counts_idf.groupBy("doc_id").agg(
-        F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("norm_freq"),
-        F.sqrt(F.count(F.lit(1))).alias("norm_binary"),
-        F.sqrt(F.sum(raw * raw)).alias("norm_tfidf"),
-    )
+    """Row length per document under each weighting; partial sums are combined before the shuffle."""
+    norms = [F.sqrt(F.sum(raw_weight(w) * raw_weight(w))).alias(f"norm_{w}") for w in WEIGHTINGS]
+    return counts_idf.groupBy("doc_id").agg(*norms)
 
 
 def vocabulary(counts: DataFrame) -> DataFrame:
-    """(term, term_idx, df): distinct terms numbered in code-point order.
-
-    Terms are range-partitioned and sorted, so each range numbers itself and
-    only the range sizes (one row per partition) are added up centrally.
-    """
+    """(term, term_idx, df): distinct terms numbered in code-point order."""
     df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    ordered = df.repartitionByRange("term").sortWithinPartitions("term")
-    # high bits: range number, low 33 bits: place in the range; written before use so both stay fixed
-    placed = materialise(ordered.withColumn("place", F.monotonically_increasing_id()), "vocabulary")
-    ranges = F.shiftright("place", 33)
-    within = F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
-    sized = placed.withColumn("range_no", ranges).withColumn("within", within)
-    sizes = sized.groupBy("range_no").agg(F.count(F.lit(1)).alias("n_terms"))
-    before = W.orderBy("range_no").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select("range_no", F.coalesce(F.sum("n_terms").over(before), F.lit(0)).alias("offset"))
-    numbered = sized.join(F.broadcast(offsets), "range_no")
-    return numbered.select("term", (F.col("offset") + F.col("within")).alias("term_idx"), "df")
+    return numbered(df, "term", "term_idx").select("term", "term_idx", "df")

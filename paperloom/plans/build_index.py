@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from paperloom.functions.text import combined_text
 from paperloom.operators.grams import FEATURES, term_counts
-from paperloom.operators.weights import document_count, term_table, unit_weights, with_idf
+from paperloom.operators.weights import document_count, term_table, with_idf, with_norms
+from paperloom.plans.build_corpus import normalized_corpus
 from paperloom.session import materialise
 from paperloom.sources import index_store
 
@@ -24,7 +25,7 @@ def feature_tables(docs: DataFrame, feature: str) -> tuple[DataFrame, DataFrame]
     """
     counts = materialise(term_counts(docs, feature), f"counts-{feature}")
     terms = materialise(term_table(counts, document_count(docs)), f"terms-{feature}")
-    return unit_weights(with_idf(counts, terms)), terms
+    return with_norms(with_idf(counts, terms)), terms
 
 
 def build_index(docs: DataFrame, base: str, corpus: str, features=FEATURES) -> None:
@@ -37,3 +38,14 @@ def build_index(docs: DataFrame, base: str, corpus: str, features=FEATURES) -> N
         index_store.write_terms(terms, base, corpus, feature)
         # postings come out grouped by document, which is how the search scans them
         index_store.write_postings(postings, base, corpus, feature)
+
+
+def index_articles(
+    articles: DataFrame, base: str, corpus: str, id_col: str = "doc_id", compat: bool = False, tokenizer=None
+) -> None:
+    """From an article table to its stored index: normalise, combine title and abstract, weigh.
+
+    The normalised texts are written once; they are read for both features.
+    """
+    normal = normalized_corpus(articles, compat, tokenizer)
+    build_index(materialise(corpus_texts(normal, id_col), "texts"), base, corpus)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paperloom.functions.links import DOI_PREFIX
+from paperloom.session import spread
 
 MONTHS = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
 SEASONS = "Spring Summer Fall Winter".split()
@@ -20,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _spread(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose rows are costly to parse."""
+    return spread(table(spark, sf_dir, name), key)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
@@ -94,12 +100,12 @@ def nbib_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~is_es | (F.col("n_chars") % 2 == 0), F.concat(F.lit("JT  - "), F.col("source"))),
         F.lit("AB  - Second block\n      and its continuation"),
     ]
-    return table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("\n", *parts).alias("text"))
+    return _spread(spark, sf_dir, "documents", "doc_id").select("doc_id", F.concat_ws("\n", *parts).alias("text"))
 
 
 def ris_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, path, text): one RIS file per document, with wrapped lines and, for some, a second title."""
-    return table(spark, sf_dir, "documents").select("doc_id", _path().alias("path"), _ris().alias("text"))
+    return _spread(spark, sf_dir, "documents", "doc_id").select("doc_id", _path().alias("path"), _ris().alias("text"))
 
 
 def _ris() -> Column:
@@ -140,7 +146,7 @@ def _path() -> Column:
 
 def bib_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, text): one BibTeX file of two entries per document."""
-    return table(spark, sf_dir, "documents").select("doc_id", _bib().alias("text"))
+    return _spread(spark, sf_dir, "documents", "doc_id").select("doc_id", _bib().alias("text"))
 
 
 def _as_files(rows: DataFrame) -> DataFrame:
@@ -151,7 +157,7 @@ def _as_files(rows: DataFrame) -> DataFrame:
 
 def citation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, path, text): a BibTeX, RIS or foreign file per document."""
-    return _as_files(table(spark, sf_dir, "documents"))
+    return _as_files(_spread(spark, sf_dir, "documents", "doc_id"))
 
 
 def query_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,7 +174,7 @@ def query_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_id, section_no, page_no, lang, paragraphs): twelve saved listing pages per section, an entry per paragraph."""
-    pages = table(spark, sf_dir, "pages")
+    pages = _spread(spark, sf_dir, "pages", "page_id")
     return pages.select(
         "page_id",
         F.floor(F.col("page_id") / 12).alias("section_no"),

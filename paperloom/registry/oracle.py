@@ -256,12 +256,6 @@ _ASKED_FILES = f"""
 files AS (SELECT item_id AS doc_id, text, 'en' AS lang, 'asked' AS source, length(text) AS n_chars FROM benchmark),
 plain AS ({_file_text('files')}),
 asked AS (SELECT doc_id AS query_id, {_normal('text', _STOP)} AS text FROM plain)"""
-_NORMAL_TOKENS = f"""
-toks AS (
-  SELECT doc_id, unnest(w) AS term, unnest(range(len(w))) AS pos
-  FROM (SELECT doc_id, {WORDS} AS w FROM (SELECT doc_id, {_normal('text', _STOP)} AS text FROM documents))
-)"""
-
 # ---- saved pages
 
 _ENTRIES = """
@@ -301,6 +295,13 @@ def _normal_column(name):
 
 
 _NORMAL_TITLE, _NORMAL_ABSTRACT = _normal_column("Title"), _normal_column("Abstract")
+_ARTICLE_TOKENS = f"""{_ARTICLES},
+normal AS (SELECT doc_id, {_NORMAL_TITLE(_STOP)}, {_NORMAL_ABSTRACT(_STOP)} FROM articles),
+combined AS (SELECT doc_id, ({_blanked('"Title"')}) || ' ' || ({_blanked('"Abstract"')}) AS text FROM normal),
+toks AS (
+  SELECT doc_id, unnest(w) AS term, unnest(range(len(w))) AS pos
+  FROM (SELECT doc_id, {WORDS} AS w FROM combined)
+)"""
 
 ORACLE_SQL = {
     "top10_similar": _top_sql("unigram", "tfidf"),
@@ -326,10 +327,11 @@ SELECT query_id, term, df, round(w / norm, 9) AS weight FROM qw JOIN qn USING (q
     "topk_ranked": _top_sql("unigram", "binary", "printf('%.6f', score) AS score_text"),
     "load_index": f"WITH {_TOKENS}, {_BIGRAM_TF} SELECT doc_id, term, tf, CAST(tf AS DOUBLE) AS weight FROM tf",
     "search_variants": _VARIANTS,
-    "search_files": _padded_sql("unigram", "tfidf", _NORMAL_TOKENS, _ASKED_FILES),
+    "search_files": _padded_sql("unigram", "tfidf", _ARTICLE_TOKENS, _ASKED_FILES),
     "normalize_docs": _NORMAL_DOCS,
     "normalize_compat": f"WITH {_ARTICLES} SELECT doc_id, {_NORMAL_TITLE(_KEEP_AND)}, {_NORMAL_ABSTRACT(_KEEP_AND)} FROM articles",
     "lemma_join": _LEMMA_SQL,
+    "doc_index": "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS doc_idx FROM documents",
     "nbib_records": f"WITH {_NBIB} SELECT doc_id, {_SIX} FROM recs",
     "complete_records": f"WITH {_NBIB} SELECT doc_id, {_SIX} FROM recs WHERE {_COMPLETE}",
     "rejects": f"WITH {_NBIB} SELECT doc_id, CASE {_MISSING} END AS missing_field FROM recs WHERE NOT ({_COMPLETE})",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperloom.functions import dates, links
 from paperloom.functions.wordlists import stop_words
-from paperloom.operators import grams, normalize, profile, records, similarity, weights
+from paperloom.operators import grams, normalize, ordering, profile, records, similarity, weights
 from paperloom.plans import build_index, search
 from paperloom.registry import inputs
 from paperloom.session import fresh_path, materialise
@@ -42,7 +42,7 @@ def _presence(feature):
 def _tfidf(feature):
     def run(spark, sf_dir):
         postings, _ = build_index.feature_tables(inputs.documents(spark, sf_dir), feature)
-        return _rounded(postings.select("doc_id", "term", F.col("unit_tfidf").alias("weight")), "weight")
+        return _rounded(postings.select("doc_id", "term", weights.unit_weight("tfidf").alias("weight")), "weight")
 
     return run
 
@@ -134,9 +134,12 @@ def normalize_compat(spark, sf_dir):
 
 def lemma_join(spark, sf_dir):
     docs = inputs.documents(spark, sf_dir)
-    kept = materialise(normalize.kept_tokens(grams.by_document(docs)), "tokens")
-    lemmas = materialise(normalize.suffix_lemmas(kept.select("token").distinct()), "lemmas")
-    return normalize.rebuild_text(normalize.lemmatize(kept, lemmas), docs)
+    vocabulary = normalize.kept_tokens(docs).select("token").distinct()
+    return normalize.normalize_documents(docs, normalize.suffix_lemmas(materialise(vocabulary, "vocabulary")))
+
+
+def doc_index(spark, sf_dir):
+    return ordering.with_row_index(inputs.documents(spark, sf_dir).select("doc_id"), "doc_id")
 
 
 # ---- citation records
@@ -198,13 +201,10 @@ def display_text(spark, sf_dir):
 
 
 def search_files(spark, sf_dir):
-    """Query texts saved as citation files, searched in the documents; both sides normalised."""
-    docs = normalize.normalize_documents(inputs.documents(spark, sf_dir)).withColumnRenamed("normalized", "text")
-    entries = citations.query_entries(inputs.query_files(spark, sf_dir), ("doc_id",))
-    asked = citations.query_texts(entries, ("doc_id",)).withColumnRenamed("doc_id", "query_id")
-    normal = asked.withColumn("text", normalize.normalized(F.col("text")))
-    postings, terms = build_index.feature_tables(docs, "unigram")
-    return search.search_tables(normal, postings, terms, docs, "unigram", "tfidf")
+    """Article table to stored index, then query texts saved as citation files: the whole way."""
+    base = fresh_path(spark, "index")
+    build_index.index_articles(inputs.articles(spark, sf_dir), base, CORPUS)
+    return search.search_files(spark, inputs.query_files(spark, sf_dir), base, CORPUS, key="doc_id")
 
 
 def parse_pubdate(spark, sf_dir):
@@ -322,6 +322,7 @@ QUERIES = {
     "normalize_docs": normalize_docs,
     "normalize_compat": normalize_compat,
     "lemma_join": lemma_join,
+    "doc_index": doc_index,
     "nbib_records": nbib_records,
     "complete_records": complete_records,
     "rejects": rejects,

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -57,3 +57,20 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialise_sized(df: DataFrame, label: str, row_bytes: Column) -> tuple[DataFrame, int]:
+    """As `materialise`, with the total of `row_bytes` measured while writing."""
+    size = Observation()
+    observed = df.observe(size, F.coalesce(F.sum(row_bytes), F.lit(0)).alias("bytes"))
+    return materialise(observed, label), size.get["bytes"]
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Even out a table that has fewer splits than the cluster has cores; a larger one stays as it is.
+
+    A file of one row group is one task however many cores there are. Such a
+    table is small against the cluster, so moving it costs little.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
