@@ -27,8 +27,8 @@ def class_pattern(tag: str, name: str) -> str:
 
 def inner(page: Column, start: str, end: str) -> Column:
     """Markup between the first `start` and the next `end` (or the end of the page); null without `start`."""
-    found = F.regexp_extract(page, rf"(?is){start}(.*?)(?:{end}|\z)", 1)
-    return F.when(page.rlike(rf"(?is){start}"), found)
+    found = F.regexp_extract_all(page, F.lit(rf"(?is){start}(.*?)(?:{end}|\z)"), F.lit(1))
+    return F.get(found, F.lit(0))
 
 
 def plain_markup(fragment: Column) -> Column:

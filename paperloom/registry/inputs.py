@@ -30,6 +30,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `documents`, for row-local work that shuffles nothing by itself."""
+    return _spread(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
+
+
 def queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
 
@@ -172,6 +177,10 @@ def query_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_files(rows)
 
 
+def _paragraphs() -> Column:
+    return F.regexp_extract_all("html", F.lit("<p>([^<]*)</p>"), F.lit(1))
+
+
 def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_id, section_no, page_no, lang, paragraphs): twelve saved listing pages per section, an entry per paragraph."""
     pages = _spread(spark, sf_dir, "pages", "page_id")
@@ -180,7 +189,7 @@ def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("page_id") / 12).alias("section_no"),
         (F.col("page_id") % 12).alias("page_no"),
         "html",
-        F.regexp_extract_all("html", F.lit("<p>([^<]*)</p>"), F.lit(1)).alias("paragraphs"),
+        _paragraphs().alias("paragraphs"),
     )
 
 
@@ -216,7 +225,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def detail_pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(url, html) of abstract pages and of full-text pages, one of each per listed entry; some are not saved."""
-    entries = listed(spark, sf_dir).select("page_id", "page_no", F.posexplode("paragraphs").alias("i", "paragraph"))
+    entries = listed(spark, sf_dir).select("page_id", F.posexplode(_paragraphs()).alias("i", "paragraph"))
     number = F.concat_ws(".", F.col("page_id").cast("string"), F.col("i").cast("string"))
     n = F.length("paragraph")
     dateline = datelines(n)

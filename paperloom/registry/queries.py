@@ -122,7 +122,7 @@ def search_variants(spark, sf_dir):
 
 
 def normalize_docs(spark, sf_dir):
-    return normalize.normalize_documents(inputs.documents(spark, sf_dir))
+    return normalize.normalize_documents(inputs.spread_documents(spark, sf_dir))
 
 
 def normalize_compat(spark, sf_dir):
@@ -134,8 +134,9 @@ def normalize_compat(spark, sf_dir):
 
 def lemma_join(spark, sf_dir):
     docs = inputs.documents(spark, sf_dir)
-    vocabulary = normalize.kept_tokens(docs).select("token").distinct()
-    return normalize.normalize_documents(docs, normalize.suffix_lemmas(materialise(vocabulary, "vocabulary")))
+    tokens = normalize.kept_tokens(grams.by_document(docs)).where(F.col("token").isNotNull())
+    vocabulary = materialise(tokens.select("token").distinct(), "vocabulary")
+    return normalize.normalize_documents(docs, normalize.suffix_lemmas(vocabulary))
 
 
 def doc_index(spark, sf_dir):

@@ -77,8 +77,8 @@ def listing_entries(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
         return F.struct(piece.alias("piece"), holder.alias("holder"))
 
     # paired up inside the array, so that a page is not copied into each of its entries
-    entries = cut.where(F.size("pieces") > 1).withColumn("entries", F.transform("pieces", entry)).drop("pieces")
-    entries = entries.select("page_id", "section_url", "page_no", F.posexplode("entries").alias("entry_no", "entry"))
+    numbered = F.posexplode(F.transform("pieces", entry)).alias("entry_no", "entry")
+    entries = cut.select("page_id", "section_url", "page_no", numbered)
     heading = F.regexp_extract("entry.piece", r"(?is)^(.*?)(?:<dd\b|\z)", 1)
     description = F.regexp_extract("entry.holder", r"(?is)(<dd\b.*?)(?:</dd>|\z)", 1)
     return entries.where(F.col("entry_no") > 0).select(

@@ -26,8 +26,8 @@ def read_nbib(spark: SparkSession, path: str, whole_files: bool = True) -> DataF
     One record per file as downloaded. A bulk export with a blank line between
     records is split there instead, so that one large file is read in parallel.
     """
-    reader = spark.read.option("wholetext", True) if whole_files else spark.read.option("lineSep", "\n\n")
-    return reader.text(path).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+    rows = spark.read.text(path, wholetext=True) if whole_files else spark.read.text(path, lineSep="\n\n")
+    return rows.select(F.input_file_name().alias("path"), F.col("value").alias("text"))
 
 
 def _blocks(text: Column) -> Column:
