@@ -53,11 +53,12 @@ def unit_weight(weighting: str) -> Column:
     return raw_weight(weighting) / F.col(f"norm_{weighting}")
 
 
-def with_norms(counts_idf: DataFrame) -> DataFrame:
+def with_norms(counts_idf: DataFrame, buckets: int) -> DataFrame:
     """Add the row length of the document under each weighting to its postings.
 
-    One shuffle by document serves all three; a document's postings are bounded
-    by its own text, and the window spills. Norms repeat within a document and
+    One shuffle by document into `buckets` parts serves all three norms, the
+    bucketed write and the searches; a document's postings are bounded by its
+    own text, and the window spills. Norms repeat within a document and
     idf values within a frequency, so the columns shrink to almost nothing in
     Parquet, which three columns of scaled weights would not.
     """
@@ -66,7 +67,8 @@ def with_norms(counts_idf: DataFrame) -> DataFrame:
     def norm(weighting):
         return F.sqrt(F.sum(raw_weight(weighting) * raw_weight(weighting)).over(doc)).alias(f"norm_{weighting}")
 
-    return counts_idf.select("doc_id", "term", "tf", "idf", *[norm(w) for w in WEIGHTINGS])
+    spread = counts_idf.repartition(buckets, "doc_id")
+    return spread.select("doc_id", "term", "tf", "idf", *[norm(w) for w in WEIGHTINGS])
 
 
 def document_norms(counts_idf: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ def corpus_texts(articles: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return articles.select(F.col(id_col).alias("doc_id"), combined_text(F.col("Title"), F.col("Abstract")).alias("text"))
 
 
-def feature_tables(docs: DataFrame, feature: str) -> tuple[DataFrame, DataFrame]:
+def feature_tables(docs: DataFrame, feature: str, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(postings, terms) of one feature from (doc_id, text).
 
     Counts and terms are written once: they are read by the frequent and the
@@ -25,19 +25,25 @@ def feature_tables(docs: DataFrame, feature: str) -> tuple[DataFrame, DataFrame]
     """
     counts = materialise(term_counts(docs, feature), f"counts-{feature}")
     terms = materialise(term_table(counts, document_count(docs)), f"terms-{feature}")
-    return with_norms(with_idf(counts, terms)), terms
+    buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return with_norms(with_idf(counts, terms), buckets), terms
 
 
-def build_index(docs: DataFrame, base: str, corpus: str, features=FEATURES) -> None:
-    """Write the tables of (doc_id, text) under `base`; raises when there is no document."""
+def build_index(docs: DataFrame, base: str, corpus: str, features=FEATURES, buckets: int | None = None) -> None:
+    """Write the tables of (doc_id, text) under `base`; raises when there is no document.
+
+    `buckets` is the number of postings files and so of scanning tasks; the
+    default is the session's number of shuffle partitions. Choose it so that a
+    file holds a few hundred MB.
+    """
+    buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if docs.isEmpty():
         raise ValueError(f"corpus {corpus!r} has no documents")
     index_store.write_docs(docs.select("doc_id"), base, corpus)
     for feature in features:
-        postings, terms = feature_tables(docs, feature)
+        postings, terms = feature_tables(docs, feature, buckets)
         index_store.write_terms(terms, base, corpus, feature)
-        # postings come out grouped by document, which is how the search scans them
-        index_store.write_postings(postings, base, corpus, feature)
+        index_store.write_postings(postings, base, corpus, feature, buckets)
 
 
 def index_articles(

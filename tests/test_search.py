@@ -89,6 +89,7 @@ def test_large_query_batches_give_the_same_scores(spark, per_group):
     postings, terms = feature_tables(docs, "unigram")
     vectors = similarity.query_vectors(queries, terms, "unigram", "tfidf")
     small = similarity.cosine_scores(vectors, postings, "tfidf", terms)
+    vectors = similarity.query_vectors(queries, terms, "unigram", "tfidf", max_broadcast_bytes=0)
     large = similarity.cosine_scores(vectors, postings, "tfidf", terms, max_broadcast_bytes=0, postings_per_group=per_group)
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
 
