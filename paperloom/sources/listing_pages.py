@@ -149,6 +149,18 @@ def article_details(articles: DataFrame, abstract_pages: DataFrame, full_text_pa
     return lookup_join(dated, texts, "html_url", max_keys=5_000)
 
 
+def single_copies(listings: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
+    """Listing pages within the page limit, the last copy of each that was saved more than once.
+
+    At most `max_pages` addresses per section remain, so their list is bounded
+    by the number of sections and may be broadcast.
+    """
+    near = listings.where(listing_page_no(F.col("url")) < max_pages)
+    place = [section_of(F.col("url")), listing_page_no(F.col("url"))]
+    last = near.groupBy(*place).agg(F.max("page_id").alias("page_id")).select("page_id")
+    return near.join(F.broadcast(last), "page_id", "left_semi")
+
+
 def unbroken_pages(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
     """(section_url, page_no) that a reader turning pages from 0 would reach.
 

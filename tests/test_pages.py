@@ -91,3 +91,10 @@ def test_journal_corpus_is_capped_in_order(spark, n):
     rows = [(f"f{i}", record.format(i)) for i in range(5)] + [("e", "TI  - only")]
     exports = spark.createDataFrame(rows, "path string, text string")
     assert [r.DOI for r in journal_corpus(exports, n=n).collect()] == [f"10.1/{i}" for i in range(n)]
+
+
+def test_a_page_saved_twice_counts_once(spark):
+    pages = listing(spark, (0, [entry("1.1")]), (0, [entry("1.1"), entry("1.2")]), (1, [entry("1.3")]), (10, [entry("1.4")]))
+    ids = [f"1.{n}" for n in range(1, 5)]
+    got = preprint_corpus(pages, *details(spark, ids))
+    assert sorted(r.DOI for r in got.collect()) == [f"10.48550/arXiv.1.{n}" for n in (1, 2, 3)]
