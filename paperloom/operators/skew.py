@@ -46,6 +46,11 @@ def lookup_join(
     hot = frequent_keys(counts, key, max_keys).select(key)
     hot_table = F.broadcast(hot.join(table, key, how))
     hot_rows = rows.join(hot_table, key, "inner")
-    cold_rows = rows.join(F.broadcast(hot), key, "left_anti").join(table, key, how)
-    return hot_rows.unionByName(cold_rows)
-
+    named = rows.where(F.col(key).isNotNull())
+    cold_rows = named.join(F.broadcast(hot), key, "left_anti").join(table, key, how)
+    joined = hot_rows.unionByName(cold_rows)
+    if how == "inner":
+        return joined
+    # rows without a key match nothing and would otherwise all be shuffled to one place
+    nothing = {f.name: F.lit(None).cast(f.dataType) for f in table.schema if f.name != key}
+    return joined.unionByName(rows.where(F.col(key).isNull()).withColumns(nothing))

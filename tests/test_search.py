@@ -83,15 +83,18 @@ def test_search_equals_brute_force(spark, feature, weighting):
     assert_same(as_lists(got), brute_force(DOCS, QUERIES, feature, weighting))
 
 
-@pytest.mark.parametrize("per_group", [1, 7, 1_000_000])
-def test_large_query_batches_give_the_same_scores(spark, per_group):
+@pytest.mark.parametrize("limit, per_group", [(1_000, 1), (1, 1), (1, 7), (1, 1_000_000)])
+def test_large_query_batches_give_the_same_scores(spark, limit, per_group):
     docs, queries = frames(spark)
     postings, terms = feature_tables(docs, "unigram")
     vectors = similarity.query_vectors(queries, terms, "unigram", "tfidf")
     small = similarity.cosine_scores(vectors, postings, "tfidf", terms)
-    vectors = similarity.query_vectors(queries, terms, "unigram", "tfidf", max_broadcast_bytes=0)
-    large = similarity.cosine_scores(vectors, postings, "tfidf", terms, max_broadcast_bytes=0, postings_per_group=per_group)
+    best = similarity.best_matches(vectors, postings, "tfidf", terms)
+    vectors = similarity.query_vectors(queries, terms, "unigram", "tfidf", max_broadcast_bytes=limit)
+    limits = {"max_broadcast_bytes": limit, "postings_per_group": per_group}
+    large = similarity.cosine_scores(vectors, postings, "tfidf", terms, **limits)
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+    assert as_lists(best) == as_lists(similarity.best_matches(vectors, postings, "tfidf", terms, **limits))
 
 
 def test_a_text_finds_itself_and_scores_stay_in_range(spark):
