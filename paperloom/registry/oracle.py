@@ -59,7 +59,7 @@ def _tfidf_sql(feature):
     return f"""WITH {_TOKENS}, {TF[feature]}, {_IDF},
 raw AS (SELECT doc_id, term, tf * idf AS w FROM tf JOIN dfs USING (term)),
 norms AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM raw GROUP BY doc_id)
-SELECT doc_id, term, round(w / norm, 9) AS weight FROM raw JOIN norms USING (doc_id)"""
+SELECT doc_id, term, round(w / norm, 6) AS weight FROM raw JOIN norms USING (doc_id)"""
 
 
 _QUERY_WORDS = f"""
@@ -315,14 +315,14 @@ ORACLE_SQL = {
     "tfidf_bigram": _tfidf_sql("bigram"),
     "vocabulary": f"""WITH {_TOKENS}
 SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_idx, count(DISTINCT doc_id) AS df FROM toks GROUP BY term""",
-    "doc_freq": f"WITH {_TOKENS}, {_UNIGRAM_TF}, {_IDF} SELECT term, df, round(idf, 9) AS idf FROM dfs",
+    "doc_freq": f"WITH {_TOKENS}, {_UNIGRAM_TF}, {_IDF} SELECT term, df, round(idf, 6) AS idf FROM dfs",
     "doc_norms": f"""WITH {_TOKENS}, {_UNIGRAM_TF}, {_IDF}
-SELECT doc_id, round(sqrt(sum(CAST(tf AS DOUBLE) * tf)), 9) AS norm_freq, round(sqrt(CAST(count(*) AS DOUBLE)), 9) AS norm_binary,
-  round(sqrt(sum(tf * idf * tf * idf)), 9) AS norm_tfidf
+SELECT doc_id, round(sqrt(sum(CAST(tf AS DOUBLE) * tf)), 6) AS norm_freq, round(sqrt(CAST(count(*) AS DOUBLE)), 6) AS norm_binary,
+  round(sqrt(sum(tf * idf * tf * idf)), 6) AS norm_tfidf
 FROM tf JOIN dfs USING (term) GROUP BY doc_id""",
     "query_vectors": f"""WITH {_search_ctes('unigram', 'tfidf')}
-SELECT query_id, term, df, round(w / norm, 9) AS weight FROM qw JOIN qn USING (query_id)""",
-    "cosine_scores": f"WITH {_search_ctes('unigram', 'tfidf')} SELECT query_id, doc_id, score FROM scores",
+SELECT query_id, term, df, round(w / norm, 6) AS weight FROM qw JOIN qn USING (query_id)""",
+    "cosine_scores": f"WITH {_search_ctes('unigram', 'tfidf')} SELECT query_id, doc_id, round(score, 6) AS score FROM scores",
     "topk_padded": _padded_sql("bigram", "freq"),
     "topk_ranked": _top_sql("unigram", "binary", "printf('%.6f', score) AS score_text"),
     "load_index": f"WITH {_TOKENS}, {_BIGRAM_TF} SELECT doc_id, term, tf, CAST(tf AS DOUBLE) AS weight FROM tf",

@@ -13,7 +13,8 @@ from paperloom.session import fresh_path, materialise
 from paperloom.sources import bibtex, citations, index_store, listing_pages, nbib, ris, tables
 
 CORPUS = "documents"
-DIGITS = similarity.SCORE_DIGITS
+# Sums of doubles differ in their last digits with the order of the rows; six digits do not show it.
+DIGITS = 6
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -76,7 +77,7 @@ def query_vectors(spark, sf_dir):
 def cosine_scores(spark, sf_dir):
     postings, terms = build_index.feature_tables(inputs.documents(spark, sf_dir), "unigram")
     vectors = similarity.query_vectors(inputs.queries(spark, sf_dir), terms, "unigram", "tfidf")
-    return similarity.cosine_scores(vectors, postings, "tfidf", terms)
+    return _rounded(similarity.cosine_scores(vectors, postings, "tfidf", terms), "score")
 
 
 def _search(spark, sf_dir, feature, weighting, padded=False):

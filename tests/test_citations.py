@@ -1,6 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
-
 from paperloom.operators.records import rejected_records
 from paperloom.sources import bibtex, citations, nbib, ris
 
@@ -190,13 +188,24 @@ def test_display_text(spark):
 
 
 def test_files_become_query_entries(spark, tmp_path):
-    (tmp_path / "a.bib").write_text("@misc{a, title={Bib title}}")
+    (tmp_path / "a.BIB").write_text("@misc{a, title={Bib title}}")
     (tmp_path / "b.ris").write_text("TI  - Ris title\n")
     (tmp_path / "c.pdf").write_text("x")
-    files = citations.read_files(spark, str(tmp_path))
-    texts = citations.query_texts(citations.query_entries(files))
-    assert sorted(r.text for r in texts.collect()) == ["Bib title", "Ris title"]
-    rejected = citations.rejected_files(files).collect()
-    assert [r.reason for r in rejected] == ["unsupported extension: .pdf"]
-    assert rejected[0].path.endswith("c.pdf")
-    assert files.where(F.col("path").endswith("a.bib")).count() == 1
+    entries = citations.read_entries(spark, str(tmp_path))
+    assert sorted(r.text for r in citations.query_texts(entries).collect()) == ["Bib title", "Ris title"]
+    files = citations.list_files(spark, str(tmp_path))
+    assert citations.dispatch(files).where("supported").count() == 2
+    (rejected,) = citations.rejected_files(files).collect()
+    assert rejected.reason == "unsupported extension: .pdf" and rejected.path.endswith("c.pdf")
+
+
+@pytest.mark.parametrize("name", ["A.bib", "B.ris", "C.bib"])
+def test_wrapped_and_nested_sources(spark, tmp_path, name):
+    texts = {
+        "A.bib": "@ARTICLE{x,\n  title = {Graph\n    networks},\n  abstract = {About {DNA} graphs}\n}\n",
+        "B.ris": "TY  - JOUR\r\nTI  - Graph networks\r\nAB  - About {DNA} graphs\r\nER  - \r\n",
+        "C.bib": '@misc{x, title = "Graph networks", note = {About {DNA} graphs}}',
+    }
+    (tmp_path / name).write_bytes(texts[name].encode())
+    (row,) = citations.query_texts(citations.read_entries(spark, str(tmp_path))).collect()
+    assert row.text.split() == ["Graph", "networks", "About", "{DNA}", "graphs"]

@@ -162,6 +162,8 @@ def test_articles_to_files_and_back(spark, tmp_path):
     best = {r.query_id: (r.doc_id, r.score) for r in got.where("rank = 1").collect()}
     assert best["a.bib"] == (2, 1.0) and best["b.ris"][0] == 3  # 0.650 against 0.605: its other words are commoner
     assert got.count() == 4
+    binary = search_files(spark, files, str(tmp_path), "arxiv", feature="bigram", weighting="binary")
+    assert binary.where("query_id = 'a.bib' and rank = 1").first().score == 1.0
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
