@@ -7,11 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperloom.llm.common import read
+from paperloom.llm.fingerprints import imatch_neighbours
 from paperloom.llm.sharding import histogram_shards
 
 SHARDS = 24
 
 
+def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I-Match fingerprints of all texts, beside those of edited texts and of the next documents."""
+    found = imatch_neighbours(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
 def op6_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in 24 shards of nearly equal bytes, in the order of their ids."""
     placed = histogram_shards(
@@ -34,6 +49,7 @@ def op6_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_imatch": op1_imatch,
     "op6_histogram_sort": op6_histogram_sort,
 }
 ORACLE_SQL: dict[str, str] = {}
