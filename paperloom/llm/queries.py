@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperloom.llm.common import read
 from paperloom.llm.fingerprints import imatch_neighbours
+from paperloom.llm.packing import pack_sequences
 from paperloom.llm.sharding import histogram_shards
+from paperloom.llm.tiktokens import encode_and_decode
 
 SHARDS = 24
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +24,7 @@ def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id",
         "n_chars",
-        F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+        "edited_sha256",
         "fingerprint",
         "edited_fingerprint",
         "near_edited",
@@ -48,8 +53,26 @@ def op6_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_first_fit_decreasing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut and packed into sequences of at most 2048 tokens."""
+    return pack_sequences(read(spark, sf_dir, "documents"), BYTE_BPE, end_id=1, with_ids=False)
+
+
+def op10_tiktoken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every text and of the bytes that they decode to."""
+    coded = encode_and_decode(read(spark, sf_dir, "documents"), MULTI_RANKS, public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_imatch": op1_imatch,
     "op6_histogram_sort": op6_histogram_sort,
+    "op9_first_fit_decreasing": op9_first_fit_decreasing,
+    "op10_tiktoken": op10_tiktoken,
 }
 ORACLE_SQL: dict[str, str] = {}
