@@ -74,7 +74,7 @@ def likeness(left: Column, right: Column) -> Column:
 def ordered_pairs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Every document with the text that follows it in ascending id order, the first after the last.
 
-    Columns: part and place (together a key), id, text, next_text, guest.
+    Columns: at and place (together a key), id, text, next_text, guest.
     Documents are dealt to ranges of ids once. The first document of a range
     also visits the range before it, as a guest behind all others, so that
     each range is complete in itself. Null ids come first, equal ids are
@@ -101,7 +101,7 @@ def ordered_pairs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     dealt = base.select("id", "text", "tie", F.inline(F.array(own, guest))).where(F.col("at").isNotNull())
     order = W.partitionBy("at").orderBy("guest", F.col("id").asc_nulls_first(), "tie")
     return dealt.select(
-        F.col("at").alias("part"),
+        "at",
         F.row_number().over(order).alias("place"),
         "id",
         "text",
@@ -123,7 +123,7 @@ def imatch_neighbours(
     its own second half (code points, rounded down); next is by ascending id,
     the first follows the last. A fingerprint keeps the distinct terms in the
     idf band, sorts them by hash, and hashes the whole and 272 random subsets
-    of the lexicon. Returns the id as `doc_id`, n_chars, edited_text,
+    of the lexicon. Returns the id as `doc_id`, n_chars, edited_sha256,
     fingerprint, edited_fingerprint, near_edited, near_next.
 
     Null and empty texts, and texts without a term in the band, have a
@@ -134,33 +134,33 @@ def imatch_neighbours(
     pairs = ordered_pairs(docs, id_col, text_col)
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("next_text", F.lit(1), half))
-    with_edit = pairs.select("part", "place", "guest", "id", "text", F.when(~F.col("guest"), edited).alias("edited"))
+    with_edit = pairs.select("at", "place", "guest", "id", "text", F.when(~F.col("guest"), edited).alias("edited"))
     # a head row carries the columns of the result; two further rows carry the texts to split
     head = F.struct(
-        F.struct("id", F.length("text").alias("n_chars"), F.col("edited").alias("edited_text"), "guest").alias("head"),
+        F.struct("id", F.length("text").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "guest").alias("head"),
         F.lit(None).cast("array<string>").alias("ts"),
         F.lit(0).alias("kind"),
     )
-    no_head = F.lit(None).cast("struct<id:bigint,n_chars:int,edited_text:string,guest:boolean>").alias("head")
+    no_head = F.lit(None).cast("struct<id:bigint,n_chars:int,edited_sha256:string,guest:boolean>").alias("head")
     body = lambda text, kind: F.struct(no_head, terms(F.col(text)).alias("ts"), F.lit(kind).alias("kind"))
-    rows = with_edit.select("part", "place", F.inline(F.array(head, body("text", 1), body("edited", 2))))
-    words = rows.select("part", "place", "head", "kind", F.explode_outer("ts").alias("t"))
-    hashed = words.select("part", "place", "head", "kind", F.xxhash64("t").alias("term"))
+    rows = with_edit.select("at", "place", F.inline(F.array(head, body("text", 1), body("edited", 2))))
+    words = rows.select("at", "place", "head", "kind", F.explode_outer("ts").alias("t"))
+    hashed = words.select("at", "place", "head", "kind", F.xxhash64("t").alias("term"))
     allowed = lexicon(docs, text_col, min_idf, max_idf).withColumn("known", F.lit(True))
     marked = hashed.join(F.broadcast(allowed), "term", "left").where(F.col("known") | (F.col("kind") == 0))
     per_kind = lambda kind: F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.col("term"))))
-    grouped = marked.groupBy("part", "place").agg(
+    grouped = marked.groupBy("at", "place").agg(
         F.first("head", ignorenulls=True).alias("head"), per_kind(1).alias("own"), per_kind(2).alias("changed")
     )
     printed = grouped.select(
-        "part", "place", "head.*", fingerprint(F.col("own")).alias("f"), fingerprint(F.col("changed")).alias("g")
+        "at", "place", "head.*", fingerprint(F.col("own")).alias("f"), fingerprint(F.col("changed")).alias("g")
     )
-    order = W.partitionBy("part").orderBy("place")
+    order = W.partitionBy("at").orderBy("place")
     beside = printed.withColumn("following", F.lead("f").over(order)).where(~F.col("guest"))
     return beside.select(
         F.col("id").alias("doc_id"),
         F.col("n_chars").cast("long").alias("n_chars"),
-        "edited_text",
+        "edited_sha256",
         F.array_join("f", "").alias("fingerprint"),
         F.array_join("g", "").alias("edited_fingerprint"),
         likeness(F.col("f"), F.col("g")).alias("near_edited"),
