@@ -7,11 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from paperloom.llm.common import read
+from paperloom.llm.common import id_remainder, read
 from paperloom.llm.fingerprints import imatch_neighbours
+from paperloom.llm.language import identify_languages, train_languages
 from paperloom.llm.packing import pack_sequences
 from paperloom.llm.sharding import histogram_shards
 from paperloom.llm.tiktokens import encode_and_decode
+from paperloom.llm.toxicity import score_toxicity, train_toxicity
 
 SHARDS = 24
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -32,6 +34,15 @@ def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_noisy_or(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels whose id remainder is not 0."""
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(id_remainder(F.col("doc_id"), 5) == 0, F.lit(True))
+    model = train_toxicity(docs, read(spark, sf_dir, "labels"), ~held_out)
+    scored = score_toxicity(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "offending")
+
+
 def op6_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in 24 shards of nearly equal bytes, in the order of their ids."""
     placed = histogram_shards(
@@ -53,6 +64,14 @@ def op6_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_hyperdimensional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from those whose id remainder is not 2."""
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(id_remainder(F.col("doc_id"), 4) == 2, F.lit(True))
+    found = identify_languages(docs, train_languages(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op9_first_fit_decreasing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut and packed into sequences of at most 2048 tokens."""
     return pack_sequences(read(spark, sf_dir, "documents"), BYTE_BPE, end_id=1, with_ids=False)
@@ -71,7 +90,9 @@ def op10_tiktoken(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_imatch": op1_imatch,
+    "op2_noisy_or": op2_noisy_or,
     "op6_histogram_sort": op6_histogram_sort,
+    "op8_hyperdimensional": op8_hyperdimensional,
     "op9_first_fit_decreasing": op9_first_fit_decreasing,
     "op10_tiktoken": op10_tiktoken,
 }
