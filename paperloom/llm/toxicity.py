@@ -145,9 +145,7 @@ def fit_noisy_or(bags: list[Bag]) -> ToxicityModel:
         owners.append(at + np.searchsorted(starts, where, "right") - 1)
     feature, owner = np.concatenate(features), np.concatenate(owners)
     total = int(n_sentences.sum())
-    # a rare class weighs as much as the other
-    share = min(max(labels.mean(), 1e-6), 1 - 1e-6)
-    importance = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) / len(bags)
+    importance = 1.0 / len(bags)
     w, seen, seen_bias = np.full(len(chosen), FIRST_WEIGHT), np.full(len(chosen), 1e-12), 1e-12
     for _ in range(EPOCHS):
         z = np.bincount(owner, w[feature], total) + bias
