@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperloom.llm.common import id_remainder, read
 from paperloom.llm.fingerprints import imatch_neighbours
+from paperloom.llm.kd_search import top_inner_products
 from paperloom.llm.language import identify_languages, train_languages
 from paperloom.llm.packing import pack_sequences
 from paperloom.llm.sharding import histogram_shards
 from paperloom.llm.tiktokens import encode_and_decode
+from paperloom.llm.token_files import token_file_round_trip
 from paperloom.llm.toxicity import score_toxicity, train_toxicity
 
 SHARDS = 24
@@ -43,6 +45,11 @@ def op2_noisy_or(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "offending")
 
 
+def op4_kd_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products of every twentieth vector with all others."""
+    return top_inner_products(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op6_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in 24 shards of nearly equal bytes, in the order of their ids."""
     placed = histogram_shards(
@@ -64,6 +71,17 @@ def op6_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token files in id order, and their ids as read back from these files."""
+    back = token_file_round_trip(read(spark, sf_dir, "documents"), BYTE_BPE, end_id=2)
+    return back.select(
+        "doc_id",
+        "start",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 def op8_hyperdimensional(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learned from those whose id remainder is not 2."""
     docs = read(spark, sf_dir, "documents")
@@ -91,9 +109,26 @@ def op10_tiktoken(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_imatch": op1_imatch,
     "op2_noisy_or": op2_noisy_or,
+    "op4_kd_trees": op4_kd_trees,
     "op6_histogram_sort": op6_histogram_sort,
+    "op7_rans": op7_rans,
     "op8_hyperdimensional": op8_hyperdimensional,
     "op9_first_fit_decreasing": op9_first_fit_decreasing,
     "op10_tiktoken": op10_tiktoken,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_kd_trees": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v AS q JOIN v AS c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+}
