@@ -7,26 +7,35 @@ import re
 
 import numpy as np
 
-CACHED_CHUNKS = 400_000  # encoded chunks that a task remembers; then the older half is forgotten
+CACHED_CHUNKS = 1_000_000  # encoded chunks that a task remembers; then only the earliest, mostly frequent ones stay
+KEPT_CHUNKS = 100_000
 LONGEST_CACHED = 40
+STOPS = ".,;:!?"
 SPACE_AFTER_SPACE = re.compile(r"\s ")
 BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 
 
 class ChunkIds(dict):
-    """Ids of chunks that begin with `prefix`, as little-endian bytes; a missing chunk is encoded when asked for."""
+    """Ids of chunks that begin with `prefix`, as little-endian bytes; a missing chunk is encoded when asked for.
 
-    def __init__(self, tokenizer, prefix: str, width: str):
+    A word of letters alone and the stops behind it are matched separately by
+    the split pattern, so they are looked up separately.
+    """
+
+    def __init__(self, tokenizer, prefix: str, width: str, plain: ChunkIds | None = None):
         super().__init__()
-        self.encode, self.prefix, self.width = tokenizer.encode, prefix, width
+        self.encode, self.prefix, self.width, self.plain = tokenizer.encode, prefix, width, plain
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = self.encode(self.prefix + chunk, add_special_tokens=False).ids
-        found = np.array(ids, self.width).tobytes()
+        word = chunk.rstrip(STOPS)
+        if len(word) < len(chunk) and word.isalpha() and self.plain is not None:
+            found = self[word] + self.plain[chunk[len(word) :]]
+        else:
+            found = np.array(self.encode(self.prefix + chunk, add_special_tokens=False).ids, self.width).tobytes()
         if len(chunk) <= LONGEST_CACHED:
             if len(self) >= CACHED_CHUNKS:
-                for old in list(self)[: CACHED_CHUNKS // 2]:
-                    del self[old]
+                for late in list(self)[KEPT_CHUNKS:]:
+                    del self[late]
             self[chunk] = found
         return found
 
@@ -49,7 +58,7 @@ class ByteLevelEncoder:
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.width = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.first = ChunkIds(tokenizer, "", self.width)
-        self.spaced = ChunkIds(tokenizer, " ", self.width)
+        self.spaced = ChunkIds(tokenizer, " ", self.width, self.first)
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
