@@ -12,6 +12,7 @@ from paperloom.llm.fingerprints import imatch_neighbours
 from paperloom.llm.kd_search import top_inner_products
 from paperloom.llm.language import identify_languages, train_languages
 from paperloom.llm.packing import pack_sequences
+from paperloom.llm.passages import remove_repeated_passages
 from paperloom.llm.sharding import histogram_shards
 from paperloom.llm.tiktokens import encode_and_decode
 from paperloom.llm.token_files import token_file_round_trip
@@ -50,6 +51,13 @@ def op4_kd_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_inner_products(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op5_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without the windows of 20 words that start earlier."""
+    cut = remove_repeated_passages(read(spark, sf_dir, "documents"))
+    kept = F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    return cut.select("doc_id", "n_words", "n_removed", kept)
+
+
 def op6_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in 24 shards of nearly equal bytes, in the order of their ids."""
     placed = histogram_shards(
@@ -110,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_imatch": op1_imatch,
     "op2_noisy_or": op2_noisy_or,
     "op4_kd_trees": op4_kd_trees,
+    "op5_super_kmers": op5_super_kmers,
     "op6_histogram_sort": op6_histogram_sort,
     "op7_rans": op7_rans,
     "op8_hyperdimensional": op8_hyperdimensional,
@@ -131,4 +140,25 @@ ORACLE_SQL: dict[str, str] = {
             FROM scored
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+    "op5_super_kmers": r"""
+        WITH w AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+        ), win AS (
+            SELECT doc_id, s, array_to_string(ws[s : s + 19], ' ') AS k
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS s FROM w WHERE len(ws) >= 20)
+        ), again AS (
+            SELECT doc_id, s FROM (
+                SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS r FROM win
+            ) WHERE r > 1
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM again
+        ), words AS (
+            SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w
+        ), kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t, count(*) AS n
+            FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+        )
+        SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+               CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM w LEFT JOIN kept USING (doc_id)""",
 }
