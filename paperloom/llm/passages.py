@@ -190,7 +190,8 @@ def remove_repeated_passages(
                     out.append((run["mini"] % buckets, k, oid, tie, first, n, packed))
             yield pd.DataFrame(out, columns=["bucket", "k", "oid", "tie", "first", "n", "words"])
 
-    joined = texts.select("k", "oid", "tie", "text").join(wanted, "k")
+    # with all columns, so that the exchange of texts is the same as in the last join and is made once
+    joined = texts.join(wanted, "k")
     packed = joined.mapInPandas(pack, "bucket long, k long, oid long, tie long, first long, n long, words binary")
     found = packed.groupBy("bucket").applyInPandas(
         lambda bucket: repeated_windows(bucket, window), "k long, oid long, tie long, start long, n long"
