@@ -11,6 +11,7 @@ from paperloom.llm.common import id_remainder, read
 from paperloom.llm.fingerprints import imatch_neighbours
 from paperloom.llm.kd_search import top_inner_products
 from paperloom.llm.language import identify_languages, train_languages
+from paperloom.llm.near_duplicates import near_duplicate_classes
 from paperloom.llm.packing import pack_sequences
 from paperloom.llm.passages import remove_repeated_passages
 from paperloom.llm.sharding import histogram_shards
@@ -46,6 +47,11 @@ def op2_noisy_or(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "offending")
 
 
+def op3_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near duplicates of every document."""
+    return near_duplicate_classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "keeps")
+
+
 def op4_kd_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 largest inner products of every twentieth vector with all others."""
     return top_inner_products(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
@@ -117,6 +123,7 @@ def op10_tiktoken(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_imatch": op1_imatch,
     "op2_noisy_or": op2_noisy_or,
+    "op3_weighted_minhash": op3_weighted_minhash,
     "op4_kd_trees": op4_kd_trees,
     "op5_super_kmers": op5_super_kmers,
     "op6_histogram_sort": op6_histogram_sort,
