@@ -116,12 +116,13 @@ def remove_repeated_passages(
     text_col: str = "text",
     window: int = WINDOW,
     keep: tuple[str, ...] = (),
+    as_written: bool = False,
 ) -> DataFrame:
     """Remove each word covered by a window of words that also starts earlier: doc_id, n_words, n_removed, kept_text, `keep`.
 
     Earlier is a smaller id, or the same document and an earlier start; windows
     are judged on the input. kept_text has the remaining words joined by one
-    space.
+    space; with `as_written` a text that loses no word stays as it is.
 
     Null and empty texts have no words; a text of fewer than `window` words
     stays. Null ids come before all others; rows with equal ids are ordered by
@@ -213,7 +214,7 @@ def remove_repeated_passages(
                 n_words.append(len(words))
                 n_removed.append(removed)
                 left = words if not removed else [w for w, c in zip(words, covered.tolist()) if not c]
-                kept.append(b" ".join(left).decode())
+                kept.append(text or "" if as_written and not removed else b" ".join(left).decode())
             yield piece[["rows"]].assign(n_words=n_words, n_removed=n_removed, kept_text=kept)
 
     judged = texts.join(per_text, "k", "left").select("oid", "tie", "text", "rows", "again")
