@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from paperloom.llm.common import by_rows
-from paperloom.session import materialise
+from paperloom.session import fresh_path
 
 WINDOW = 20
 GRAM = 4
@@ -155,7 +155,10 @@ def remove_repeated_passages(
                     }
                 )
 
-    runs = materialise(keyed.select("k", "text").mapInPandas(heads, "mini long, k long, at long"), "super-kmers")
+    path = fresh_path(docs.sparkSession, "super-kmers")
+    found_runs = keyed.select("k", "text").mapInPandas(heads, "mini long, k long, at long")
+    found_runs.write.option("compression", "zstd").parquet(path)
+    runs = docs.sparkSession.read.schema(found_runs.schema).parquet(path)
     n_runs = runs.count()
     buckets = max(1, -(-n_runs // BUCKET_RUNS))
     repeated = runs.groupBy("mini").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1).select("mini")
