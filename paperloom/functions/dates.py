@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 from paperloom.functions.wordlists import MONTH_NUMBERS, SEASON_STARTS
 
 # Fixed value: day, three-letter month, four-digit year, with one whitespace character between them.
-DATELINE_PATTERN = r"(\p{Nd}{1,2}[\s\p{Z}][\p{L}\p{N}_]{3}[\s\p{Z}]\p{Nd}{4})"
+DATELINE_PATTERN = r"(?U)(\d{1,2}\s\w{3}\s\d{4})"
 MISSING_DATE = "N/A"
 
 

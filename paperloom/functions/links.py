@@ -22,9 +22,10 @@ def listing_url(section_url: Column, page_no: Column, page_size: int = PAGE_SIZE
 
 
 def listing_page_no(url: Column, page_size: int = PAGE_SIZE) -> Column:
-    """Page number held in the `skip` parameter; null when there is none."""
-    skip = F.regexp_extract(url, r"[?&]skip=([0-9]{1,9})(?:&|#|$)", 1)
-    return F.floor(F.when(skip != "", skip.cast("long")) / page_size).cast("int")
+    """Page number held in the `skip` parameter; 0 without one, null when it is no number of up to 11 digits."""
+    skip = F.regexp_extract(url, r"[?&]skip=([0-9]{1,11})(?:&|#|$)", 1)
+    number = F.when(skip != "", skip.cast("long")).when(~url.rlike(r"[?&]skip="), F.lit(0).cast("long"))
+    return F.floor(number / page_size).cast("int")
 
 
 def section_of(url: Column) -> Column:

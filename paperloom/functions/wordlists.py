@@ -43,9 +43,9 @@ CORPUS_CATEGORIES = ("DET", "ADP", "SCONJ", "PRON")
 QUERY_CATEGORIES = ("DET", "ADP", "CCONJ", "SCONJ", "PRON")
 
 # Characters that split a word and stand as tokens of their own.
-INFIX_MARKS = ". , ? ! : ; ~ ` ‘ ’ “ ” \" '".split(" ")
+INFIX_MARKS = (".", ",", "?", "!", ":", ";", "‘", "’", "`", "“", "”", '"', "'", "~")
 # Brackets are peeled off the edges of a word by the usual English tokenisers.
-BRACKET_MARKS = "( ) [ ] { }".split(" ")
+BRACKET_MARKS = ("(", ")", "[", "]", "{", "}")
 
 # Month and season names of citation dates.
 MONTH_NUMBERS = {

@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from paperloom.functions.links import DOI_PREFIX
 from paperloom.session import spread
 
-MONTHS = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
-SEASONS = "Spring Summer Fall Winter".split()
+# Month and season names of citation dates.
+MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+SEASONS = ("Spring", "Summer", "Fall", "Winter")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,7 +48,7 @@ def abstract() -> Column:
     return F.expr("substr(text, length(substring_index(text, '\n', 1)) + 2)")
 
 
-def _pick(names: list[str], index: Column) -> Column:
+def _pick(names: tuple[str, ...], index: Column) -> Column:
     return F.get(F.array(*[F.lit(n) for n in names]), index.cast("int"))
 
 
@@ -108,6 +109,15 @@ def nbib_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spread(spark, sf_dir, "documents", "doc_id").select("doc_id", F.concat_ws("\n", *parts).alias("text"))
 
 
+def nbib_bulk_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file_no, text): exports of up to 20 records each, every second one with the line ends of another system."""
+    records = nbib_texts(spark, sf_dir).withColumn("file_no", F.floor(F.col("doc_id") / 20))
+    placed = F.array_sort(F.collect_list(F.struct("doc_id", "text")))
+    text = F.array_join(F.transform(placed, lambda r: r["text"]), "\n\n")
+    dos = F.when(F.col("file_no") % 2 == 1, F.replace("text", F.lit("\n"), F.lit("\r\n"))).otherwise(F.col("text"))
+    return records.groupBy("file_no").agg(text.alias("text")).select("file_no", dos.alias("text"))
+
+
 def ris_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, path, text): one RIS file per document, with wrapped lines and, for some, a second title."""
     return _spread(spark, sf_dir, "documents", "doc_id").select("doc_id", _path().alias("path"), _ris().alias("text"))

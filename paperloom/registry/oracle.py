@@ -1,4 +1,4 @@
-"""The registered queries in plain SQL, written against the tables and not against the Spark code."""
+"""The registered queries in plain SQL, written against the tables; word lists and missing texts are the library's."""
 
 from __future__ import annotations
 
@@ -10,7 +10,8 @@ def _quoted(words) -> str:
 
 
 WORDS = r"regexp_extract_all(lower(text), '([\p{L}\p{N}_]{2,})', 1)"
-MARKS = r""". , ? ! : ; ~ ` ‘ ’ “ ” " '' ( ) \[ \] { }""".replace(" ", "")
+# The marks that split a word, as the body of a character class inside a quoted string.
+MARKS = r""".,?!:;‘’`“”"''~()\[\]{}"""
 SPACES = r"\p{Z}\t\n\x0B\f\r\x1C-\x1F\x85"
 
 
@@ -335,6 +336,9 @@ SELECT query_id, term, df, round(w / norm, 6) AS weight FROM qw JOIN qn USING (q
     "nbib_records": f"WITH {_NBIB} SELECT doc_id, {_SIX} FROM recs",
     "complete_records": f"WITH {_NBIB} SELECT doc_id, {_SIX} FROM recs WHERE {_COMPLETE}",
     "rejects": f"WITH {_NBIB} SELECT doc_id, CASE {_MISSING} END AS missing_field FROM recs WHERE NOT ({_COMPLETE})",
+    "nbib_bulk": f"""WITH {_NBIB} SELECT doc_id // 20 AS file_no,
+  CAST(row_number() OVER (PARTITION BY doc_id // 20 ORDER BY doc_id) - 1 AS INTEGER) AS record_no, {_SIX} FROM recs""",
+    "journal_all": f"WITH {_NBIB} SELECT {_SIX} FROM recs WHERE {_COMPLETE}",
     "cap_global": f"WITH {_NBIB} SELECT doc_id, {_SIX} FROM recs WHERE {_COMPLETE} ORDER BY doc_id LIMIT 300",
     "ris_records": f"SELECT doc_id, {_RIS_TITLE} AS title, {_RIS_ABSTRACT} AS abstract FROM documents",
     "ris_full": f"SELECT doc_id, {_RIS_TITLE} AS title, {_RIS_FULL_ABSTRACT} AS abstract FROM documents",
@@ -343,6 +347,8 @@ SELECT query_id, term, df, round(w / norm, 6) AS weight FROM qw JOIN qn USING (q
   'January' AS month, '2024' AS year FROM documents""",
     "dispatch_ext": f"SELECT doc_id, {_EXT} AS extension, n_chars % 4 <> 1 AS supported FROM documents",
     "rejected_files": """SELECT '/saved/' || source || '/v1.' || doc_id || '.txt' AS path, 'unsupported extension: .txt' AS reason
+FROM documents WHERE n_chars % 4 = 1""",
+    "query_rejects": """SELECT '/saved/' || source || '/v1.' || doc_id || '.txt' AS path, 'unsupported extension: .txt' AS reason
 FROM documents WHERE n_chars % 4 = 1""",
     "query_text": f"SELECT doc_id, text FROM ({_file_text('documents')}) WHERE text <> ''",
     "display_text": f"""SELECT doc_id, CASE WHEN n_chars % 4 = 0 THEN {_RIS_ABSTRACT}
@@ -361,6 +367,16 @@ FROM documents""",
     "listing_articles": f"""WITH {_ENTRIES}
 SELECT page_id, {_SECTION} AS section_url, CAST(page_no AS INTEGER) AS page_no, CAST(i + 1 AS INTEGER) AS entry_no, {_ENTRY_FIELDS}
 FROM entries WHERE i % 4 <> 3""",
+    "page_rejects": f"""WITH {_ENTRIES}
+SELECT page_id, CAST(i + 1 AS INTEGER) AS entry_no, 'no link to the full text' AS reason FROM entries WHERE i % 4 = 3""",
+    "preprint_all": f"""WITH {_ENTRIES},
+sizes AS (SELECT section_no, page_no FROM entries GROUP BY section_no, page_no),
+reached AS (
+  SELECT section_no, page_no
+  FROM (SELECT *, row_number() OVER (PARTITION BY section_no ORDER BY page_no) AS k FROM sizes) WHERE k = page_no + 1
+)
+SELECT {_ENTRY_FIELDS}, {_SHOWN_ABSTRACT} AS "Abstract", {_SECTION} AS "Section", {_SHOWN_DATE} AS "Date"
+FROM entries SEMI JOIN reached USING (section_no, page_no) WHERE {_VALID}""",
     "page_details": f"""WITH {_ENTRIES}
 SELECT 'https://arxiv.org/abs/' || {_NUMBER} AS url, {_SHOWN_DATE} AS found FROM entries
 WHERE {_N} > 20 AND {_SHOWN_DATE} IS NOT NULL

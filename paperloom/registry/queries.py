@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from paperloom.functions import dates, links
 from paperloom.functions.wordlists import stop_words
 from paperloom.operators import grams, normalize, ordering, profile, records, similarity, weights
-from paperloom.plans import build_index, search
+from paperloom.plans import build_corpus, build_index, search
 from paperloom.registry import inputs
 from paperloom.session import fresh_path, materialise
 from paperloom.sources import bibtex, citations, index_store, listing_pages, nbib, ris, tables
@@ -160,8 +160,20 @@ def rejects(spark, sf_dir):
     return records.rejected_records(found, nbib.REQUIRED, keep=("doc_id",))
 
 
+def nbib_bulk(spark, sf_dir):
+    """Exports of many records each."""
+    keep = ("file_no", "record_no")
+    records = nbib.split_records(inputs.nbib_bulk_texts(spark, sf_dir), ("file_no",))
+    return nbib.nbib_records(records, keep).drop("raw_date")
+
+
+def journal_all(spark, sf_dir):
+    """The journal table without a limit."""
+    return build_corpus.journal_corpus(inputs.nbib_texts(spark, sf_dir), "doc_id")
+
+
 def cap_global(spark, sf_dir):
-    return listing_pages.cap_overall(complete_records(spark, sf_dir), "doc_id")
+    return listing_pages.cap_overall(complete_records(spark, sf_dir), "doc_id", 300)
 
 
 def _titled(entries: DataFrame) -> DataFrame:
@@ -191,6 +203,10 @@ def rejected_files(spark, sf_dir):
     return citations.rejected_files(inputs.citation_files(spark, sf_dir))
 
 
+def query_rejects(spark, sf_dir):
+    return citations.rejected_queries(inputs.citation_files(spark, sf_dir))
+
+
 def query_text(spark, sf_dir):
     keep = ("doc_id",)
     return citations.query_texts(citations.query_entries(inputs.citation_files(spark, sf_dir), keep), keep)
@@ -236,6 +252,18 @@ def listing_articles(spark, sf_dir):
     return found.select("page_id", "section_url", "page_no", "entry_no", "DOI", "Title", "Authors")
 
 
+def page_rejects(spark, sf_dir):
+    return listing_pages.rejected_entries(inputs.listing_pages(spark, sf_dir)).select("page_id", "entry_no", "reason")
+
+
+def preprint_all(spark, sf_dir):
+    """The preprint table of all sections and pages, without a limit."""
+    pages = inputs.listing_pages(spark, sf_dir)
+    sections = [r["url"] for r in pages.select(listing_pages.section_of(F.col("url")).alias("url")).distinct().collect()]
+    details = inputs.detail_pages(spark, sf_dir)
+    return build_corpus.preprint_corpus(pages, *details, sections={url: url for url in sections})
+
+
 def page_details(spark, sf_dir):
     abstract_pages, full_text_pages = inputs.detail_pages(spark, sf_dir)
     dated = listing_pages.abstract_page_dates(abstract_pages).withColumnRenamed("Date", "found")
@@ -251,7 +279,7 @@ def article_details(spark, sf_dir):
 
 def cap_per_section(spark, sf_dir):
     pages = inputs.listing_pages(spark, sf_dir)
-    reached = listing_pages.within_reach(listing_pages.listing_articles(pages), pages)
+    reached = listing_pages.within_reach(listing_pages.listing_articles(pages), pages, max_pages=10)
     detailed = listing_pages.article_details(reached, *inputs.detail_pages(spark, sf_dir))
     return listing_pages.cap_per_section(detailed, 30).select("section_url", "place", "DOI")
 
@@ -268,8 +296,7 @@ def union_sections(spark, sf_dir):
     docs = inputs.table(spark, sf_dir, "documents").select(
         "lang", "doc_id", inputs.title().alias("Title")
     )
-    listed = [docs.where(F.col("lang") == lang) for lang in ("de", "en", "es", "fr")]
-    return records.union_sections([*listed, docs.where(F.col("lang") == "en").withColumn("lang", F.lit("cross"))])
+    return records.union_sections([docs, docs.where(F.col("lang") == "en").withColumn("lang", F.lit("cross"))])
 
 
 def read_raw(spark, sf_dir):
@@ -328,18 +355,23 @@ QUERIES = {
     "nbib_records": nbib_records,
     "complete_records": complete_records,
     "rejects": rejects,
+    "nbib_bulk": nbib_bulk,
+    "journal_all": journal_all,
     "cap_global": cap_global,
     "ris_records": ris_records,
     "ris_full": ris_full,
     "bib_records": bib_records,
     "dispatch_ext": dispatch_ext,
     "rejected_files": rejected_files,
+    "query_rejects": query_rejects,
     "query_text": query_text,
     "display_text": display_text,
     "parse_pubdate": parse_pubdate,
     "arxiv_date": arxiv_date,
     "doi_from_url": doi_from_url,
     "listing_articles": listing_articles,
+    "page_rejects": page_rejects,
+    "preprint_all": preprint_all,
     "page_details": page_details,
     "article_details": article_details,
     "cap_per_section": cap_per_section,

@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from paperloom.functions.dates import dateline_date
 from paperloom.functions.links import absolute_link, doi_from_url, listing_page_no, section_of
-from paperloom.functions.markup import attribute, class_pattern, decoded, inner, plain_markup, text_of, without_comments
+from paperloom.functions.markup import (
+    attribute,
+    class_pattern,
+    decoded,
+    inner,
+    inner_div,
+    plain_markup,
+    text_of,
+    without_comments,
+)
 from paperloom.functions.text import strip_text
 from paperloom.operators.records import computed_once
 from paperloom.operators.skew import lookup_join
@@ -18,8 +27,6 @@ SECTIONS = {
     "Computer Vision and Pattern Recognition": "https://arxiv.org/list/cs.CV/recent",
     "Cryptography and Security": "https://arxiv.org/list/cs.CR/recent",
 }
-MAX_PAGES = 10
-MAX_PER_SECTION = 100
 MISSING_ABSTRACT = "N/A"
 
 _LIST_START = r"""<dl\b[^>]*\bid\s*=\s*["']?articles\b["']?[^>]*>"""
@@ -33,9 +40,9 @@ _ABSTRACT_P = class_pattern("p", "ltx_p")
 def _titled_link(entry, title: str):
     """href of the first link with that title attribute; null without one."""
     links = F.regexp_extract_all(entry, F.lit(r"(?is)(<a\b[^>]*>)"), F.lit(1))
-    marked = F.filter(links, lambda a: a.rlike(rf"""\b(?i:title)\s*=\s*["']{title}["']"""))
+    marked = F.filter(links, lambda a: a.rlike(rf"""(?<![\w-])(?i:title)\s*=\s*["']{title}["']"""))
     link = F.get(marked, F.lit(0))
-    return F.when(link.isNotNull(), attribute(link, "href"))
+    return F.when(link.isNotNull(), F.replace(attribute(link, "href"), F.lit("&amp;"), F.lit("&")))
 
 
 def section_names(sections: dict[str, str] = SECTIONS):
@@ -91,24 +98,52 @@ def listing_entries(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
     )
 
 
-def listing_articles(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
-    """Articles named on listing pages; an entry without both links, a description and a title is dropped."""
+_PLACE = ("page_id", "section_url", "page_no", "entry_no")
+# what an entry must have, and what its reject says
+_NEEDED = {
+    "abs_path": "no link to the abstract page",
+    "html_url": "no link to the full text",
+    "description": "no description",
+    "title_markup": "no title",
+}
+
+
+def _parsed_entries(pages: DataFrame, page_id: str) -> DataFrame:
     entries = listing_entries(pages, page_id)
-    place = ("page_id", "section_url", "page_no", "entry_no")
     found = [
+        F.col("description"),
         _titled_link(F.col("heading"), "Abstract").alias("abs_path"),
         _titled_link(F.col("heading"), "View HTML").alias("html_url"),
-        inner(F.col("description"), _TITLE_DIV, "</div>").alias("title_markup"),
+        inner_div(F.col("description"), _TITLE_DIV).alias("title_markup"),
         F.regexp_extract_all("description", F.lit(rf"(?is){_AUTHORS_DIV}(.*?)(?:</div>|\z)"), F.lit(1)).alias("name_divs"),
     ]
-    complete = computed_once(entries, place, found).where(
-        F.col("abs_path").isNotNull() & F.col("html_url").isNotNull() & F.col("title_markup").isNotNull()
-    )
+    return computed_once(entries, _PLACE, found)
+
+
+def _lacks() -> Column:
+    """Why an entry is dropped; null for a complete one."""
+    return F.coalesce(*[F.when(F.col(name).isNull(), F.lit(reason)) for name, reason in _NEEDED.items()])
+
+
+def rejected_entries(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
+    """(page_id, section_url, page_no, entry_no, reason) of the listed entries that are no articles."""
+    return _parsed_entries(pages, page_id).select(*_PLACE, _lacks().alias("reason")).where(F.col("reason").isNotNull())
+
+
+def rejected_listings(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
+    """(page_id, url, reason) of listing pages whose address holds no readable page number."""
+    lost = pages.where(listing_page_no(F.col("url")).isNull())
+    return lost.select(F.col(page_id).alias("page_id"), "url", F.lit("no page number in the address").alias("reason"))
+
+
+def listing_articles(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
+    """Articles named on listing pages; an entry without both links, a description and a title is dropped."""
+    complete = _parsed_entries(pages, page_id).where(_lacks().isNull())
     anchors = F.regexp_extract_all(F.array_join("name_divs", " "), F.lit(r"(?is)<a\b[^>]*>(.*?)</a>"), F.lit(1))
     names = F.array_join(F.transform(anchors, lambda a: strip_text(plain_markup(a))), ", ")
     title = strip_text(F.replace(decoded(plain_markup(F.col("title_markup"))), F.lit("Title:"), F.lit("")))
     return complete.select(
-        *place,
+        *_PLACE,
         "abs_path",
         "html_url",
         doi_from_url(F.col("abs_path")).alias("DOI"),
@@ -117,24 +152,34 @@ def listing_articles(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
     )
 
 
+def _saved(pages: DataFrame) -> list[str]:
+    """The column that tells the order of saving, if the pages have it."""
+    return [name for name in ("page_id",) if name in pages.columns]
+
+
 def abstract_page_dates(pages: DataFrame) -> DataFrame:
     """(url, Date) of saved abstract pages; a page without dateline or with an impossible date is dropped."""
-    dateline = inner(without_comments(F.col("html")), _DATE_DIV, "</div>")
-    dated = pages.select("url", dateline_date(strip_text(plain_markup(dateline))).alias("Date"))
+    dateline = inner_div(without_comments(F.col("html")), _DATE_DIV)
+    dated = pages.select("url", *_saved(pages), dateline_date(strip_text(plain_markup(dateline))).alias("Date"))
     return dated.where(F.col("Date").isNotNull())
 
 
 def full_text_abstracts(pages: DataFrame) -> DataFrame:
     """(url, Abstract) of saved full-text pages; `N/A` when the page has no abstract paragraph."""
-    block = inner(without_comments(F.col("html")), _ABSTRACT_DIV, "</div>")
-    cut = pages.select("url", inner(block, _ABSTRACT_P, "</p>").alias("paragraph"))
+    block = inner_div(without_comments(F.col("html")), _ABSTRACT_DIV)
+    cut = pages.select("url", *_saved(pages), inner(block, _ABSTRACT_P, "</p>").alias("paragraph"))
     text = F.regexp_replace(text_of(F.col("paragraph")), "\n", " ")
-    return cut.select("url", F.coalesce(text, F.lit(MISSING_ABSTRACT)).alias("Abstract"))
+    return cut.select("url", *_saved(pages), F.coalesce(text, F.lit(MISSING_ABSTRACT)).alias("Abstract"))
 
 
 def _one_per_url(details: DataFrame, value: str) -> DataFrame:
-    """Saved more than once, a page counts once; copies collapse before the shuffle."""
-    return details.groupBy("url").agg(F.max(value).alias(value))
+    """Saved more than once, a page counts as its last copy; copies collapse before the shuffle.
+
+    The order of saving is `page_id`. Without it a found value goes before
+    `N/A`, then the greater one.
+    """
+    order = F.struct(*_saved(details)) if _saved(details) else F.struct(F.col(value) != MISSING_ABSTRACT, F.col(value))
+    return details.groupBy("url").agg(F.max_by(value, order).alias(value))
 
 
 def article_details(articles: DataFrame, abstract_pages: DataFrame, full_text_pages: DataFrame) -> DataFrame:
@@ -149,27 +194,28 @@ def article_details(articles: DataFrame, abstract_pages: DataFrame, full_text_pa
     return lookup_join(dated, texts, "html_url", max_keys=5_000)
 
 
-def single_copies(listings: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
-    """Listing pages within the page limit, the last copy of each that was saved more than once.
+def _near(page_no: Column, max_pages: int | None) -> Column:
+    readable = page_no >= 0
+    return readable if max_pages is None else readable & (page_no < max_pages)
 
-    At most `max_pages` addresses per section remain, so their list is bounded
-    by the number of sections and may be broadcast.
-    """
-    near = listings.where(listing_page_no(F.col("url")) < max_pages)
+
+def single_copies(listings: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """Listing pages, the last copy of each that was saved more than once; with `max_pages` only so many of a section."""
+    near = listings.where(_near(listing_page_no(F.col("url")), max_pages))
     place = [section_of(F.col("url")), listing_page_no(F.col("url"))]
     last = near.groupBy(*place).agg(F.max("page_id").alias("page_id")).select("page_id")
-    return near.join(F.broadcast(last), "page_id", "left_semi")
+    return near.join(last, "page_id", "left_semi")
 
 
-def unbroken_pages(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
+def unbroken_pages(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     """(section_url, page_no) that a reader turning pages from 0 would reach.
 
     `pages` has (section_url, page_no, n_entries). Reading stops at a missing
-    page, at a page without entries and after `max_pages`. At most `max_pages`
-    rows per section are left before the window runs.
+    page, at a page without entries and, if asked for, after `max_pages`. One
+    row for each page is left before the window runs.
     """
     filled = (
-        pages.where((F.col("n_entries") > 0) & (F.col("page_no") < max_pages) & (F.col("page_no") >= 0))
+        pages.where((F.col("n_entries") > 0) & _near(F.col("page_no"), max_pages))
         .select("section_url", "page_no")
         .distinct()
     )
@@ -177,18 +223,18 @@ def unbroken_pages(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
     return filled.withColumn("place", place).where(F.col("place") == F.col("page_no") + 1).drop("place")
 
 
-def within_reach(articles: DataFrame, pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
+def within_reach(articles: DataFrame, pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Articles on listing pages that page turning reaches."""
     reached = unbroken_pages(page_sizes(pages), max_pages)
     return articles.join(reached, ["section_url", "page_no"], "left_semi")
 
 
-def cap_per_section(articles: DataFrame, n: int = MAX_PER_SECTION, section: str = "section_url") -> DataFrame:
+def cap_per_section(articles: DataFrame, n: int, section: str = "section_url") -> DataFrame:
     """The first n valid articles of each section in page and entry order; each task keeps only n before the shuffle."""
     order = W.partitionBy(section).orderBy("page_no", "entry_no", "page_id")
     return articles.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n)
 
 
-def cap_overall(records: DataFrame, order_col: str, n: int = 300) -> DataFrame:
-    """The first n records overall."""
-    return records.orderBy(order_col).limit(n)
+def cap_overall(records: DataFrame, order: str | tuple[str, ...], n: int) -> DataFrame:
+    """The first n records overall, in the order of columns that together are unique."""
+    return records.orderBy(*([order] if isinstance(order, str) else order)).limit(n)

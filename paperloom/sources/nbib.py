@@ -12,8 +12,9 @@ from paperloom.functions.dates import citation_date
 from paperloom.functions.text import SPACE_CLASS, strip_text
 from paperloom.operators.records import complete_records, computed_once
 
-# A tagged line, and the tag that fills each field.
+# A tagged line, the tag that begins a record, and the tag that fills each field.
 TAGGED_LINE = r"^([A-Z]{2,4})[^\S\n]*-[^\S\n]*([^\n]*)"
+RECORD_TAG = "PMID"
 BLOCK_BREAK = r"\n(?=[A-Z]{2,4}[^\S\n]*-)"
 FIELD_TAGS = {"Title": "TI", "Authors": "AU", "Abstract": "AB", "Journal": "JT", "Date": "DP", "DOI": "LID"}
 REQUIRED = tuple(FIELD_TAGS)
@@ -21,13 +22,30 @@ COLUMNS = ("DOI", "Title", "Authors", "Abstract", "Journal", "Date")
 
 
 def read_nbib(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
-    """(path, text) of saved exports.
+    """(path, record_no, text), one row for each record of saved exports.
 
-    One record per file as downloaded. A bulk export with a blank line between
-    records is split there instead, so that one large file is read in parallel.
+    A file may hold one record or many, with any line ends. One that is too
+    large to be read whole is cut at the tag that begins a record
+    (`whole_files=False`), so that it is read in parallel; its record numbers
+    then ascend within each part of the file that one task reads.
     """
-    rows = spark.read.text(path, wholetext=True) if whole_files else spark.read.text(path, lineSep="\n\n")
-    return rows.select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+    if whole_files:
+        rows = spark.read.text(path, wholetext=True)
+        return split_records(rows.select(F.input_file_name().alias("path"), F.col("value").alias("text")))
+    rows = spark.read.text(path, lineSep=f"\n{RECORD_TAG}-")
+    in_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.select(
+        F.col("_metadata.file_path").alias("path"),
+        (F.col("_metadata.file_block_start") + in_part).alias("record_no"),
+        F.col("value").alias("text"),
+    ).where(strip_text(F.col("text")) != "")
+
+
+def split_records(texts: DataFrame, keep=("path",), text_col: str = "text") -> DataFrame:
+    """(keep..., record_no, text): texts cut before each record tag that follows a blank line; row-local."""
+    lines = F.regexp_replace(F.col(text_col), "\r\n?", "\n")
+    records = F.split(lines, rf"\n[^\S\n]*\n\s*(?={RECORD_TAG}[^\S\n]*-)", -1)
+    return texts.select(*keep, F.posexplode(records).alias("record_no", "text"))
 
 
 def _blocks(text: Column) -> Column:

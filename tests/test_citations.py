@@ -84,7 +84,7 @@ def test_nbib_unknown_month_is_rejected_as_undated(spark):
 def test_nbib_files_and_bulk_export(spark, tmp_path):
     (tmp_path / "bulk.txt").write_text(RECORD.replace("\n\n", "\n") + "\n" + RECORD.replace("\n\n", "\n").replace("xyz", "abc"))
     whole = nbib.read_nbib(spark, str(tmp_path))
-    assert whole.count() == 1
+    assert whole.count() == 2
     split = nbib.nbib_articles(nbib.read_nbib(spark, str(tmp_path), whole_files=False))
     assert sorted(r.DOI for r in split.collect()) == ["10.1000/abc", "10.1000/xyz"]
 
@@ -209,3 +209,30 @@ def test_wrapped_and_nested_sources(spark, tmp_path, name):
     (tmp_path / name).write_bytes(texts[name].encode())
     (row,) = citations.query_texts(citations.read_entries(spark, str(tmp_path))).collect()
     assert row.text.split() == ["Graph", "networks", "About", "{DNA}", "graphs"]
+
+
+def test_many_records_in_one_export_with_any_line_ends(spark, tmp_path):
+    one = "PMID- {0}\nTI  - T{0}\nAU  - A\nAB  - first\n\n      still the abstract\nJT  - J\nDP  - 2020\nLID - 10.1/{0} [doi]\n"
+    text = "\n\n".join(one.format(i) for i in range(5))
+    for name, content in (("unix", text), ("dos", text.replace("\n", "\r\n"))):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "bulk.nbib").write_bytes(content.encode())
+        for whole in (True, False):
+            found = nbib.nbib_records(nbib.read_nbib(spark, str(folder), whole), keep=("path", "record_no"))
+            rows = found.orderBy("record_no").collect()
+            assert [(r.DOI, r.Title, r.Abstract) for r in rows] == [
+                (f"10.1/{i}", f"T{i}", "first still the abstract") for i in range(5)
+            ]
+
+
+def test_files_that_give_no_query_are_named(spark):
+    rows = [
+        ("a.bib", "@article{k, title={A}}"), ("b.bib", "no entry"), ("c.bib", "@article{k, title={ }}"), ("d.txt", "x"),
+        ("e.ris", "TY  - JOUR\nER  - \n"),
+    ]
+    files = spark.createDataFrame(rows, "path string, text string")
+    found = {r.path: r.reason for r in citations.rejected_queries(files).collect()}
+    assert found == {
+        "b.bib": "no entry", "c.bib": "no text", "d.txt": "unsupported extension: .txt", "e.ris": "no text"
+    }

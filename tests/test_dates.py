@@ -55,6 +55,8 @@ def test_dateline_date(spark, line, expected):
 def test_links(spark):
     assert one(spark, links.doi_from_url, "/abs/2510.05090") == "10.48550/arXiv.2510.05090"
     assert one(spark, links.listing_page_no, "https://arxiv.org/list/cs.CL/recent?skip=150&show=50") == 3
-    assert one(spark, links.listing_page_no, "https://arxiv.org/list/cs.CL/recent") is None
+    assert one(spark, links.listing_page_no, "https://arxiv.org/list/cs.CL/recent") == 0
+    assert one(spark, links.listing_page_no, "https://arxiv.org/list/cs.CL/recent?skip=10000000000&show=50") == 200_000_000
+    assert one(spark, links.listing_page_no, "https://arxiv.org/list/cs.CL/recent?skip=many") is None
     url = links.listing_url(F.col("v"), F.lit(2))
     assert one(spark, lambda c: url, "https://arxiv.org/list/cs.CL/recent").endswith("/recent?skip=100&show=50")

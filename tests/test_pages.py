@@ -64,8 +64,9 @@ def test_full_text_page_without_abstract_and_abstract_page_without_date(spark):
 def test_reading_stops_at_a_gap_an_empty_page_and_the_limit(spark):
     sizes = [("s", n, 5) for n in range(12)] + [("gap", 0, 5), ("gap", 2, 5)] + [("empty", 0, 5), ("empty", 1, 0), ("empty", 2, 5)]
     rows = spark.createDataFrame(sizes, "section_url string, page_no int, n_entries int")
-    reached = {(r.section_url, r.page_no) for r in L.unbroken_pages(rows).collect()}
+    reached = {(r.section_url, r.page_no) for r in L.unbroken_pages(rows, 10).collect()}
     assert reached == {("s", n) for n in range(10)} | {("gap", 0), ("empty", 0)}
+    assert L.unbroken_pages(rows).where("section_url = 's'").count() == 12
 
 
 def test_preprint_corpus_counts_only_complete_articles(spark):
@@ -96,5 +97,54 @@ def test_journal_corpus_is_capped_in_order(spark, n):
 def test_a_page_saved_twice_counts_once(spark):
     pages = listing(spark, (0, [entry("1.1")]), (0, [entry("1.1"), entry("1.2")]), (1, [entry("1.3")]), (10, [entry("1.4")]))
     ids = [f"1.{n}" for n in range(1, 5)]
-    got = preprint_corpus(pages, *details(spark, ids))
+    got = preprint_corpus(pages, *details(spark, ids), max_pages=10)
     assert sorted(r.DOI for r in got.collect()) == [f"10.48550/arXiv.1.{n}" for n in (1, 2, 3)]
+
+
+def test_nothing_is_cut_without_a_limit(spark):
+    pages = listing(spark, *[(n, [entry(f"1.{n}")]) for n in range(12)])
+    ids = [f"1.{n}" for n in range(12)]
+    assert preprint_corpus(pages, *details(spark, ids)).count() == 12
+    assert preprint_corpus(pages, *details(spark, ids), max_pages=10).count() == 10
+    record = "TI  - T\nAU  - A\nAB  - B\nJT  - J\nDP  - 2020\nLID - 10.1/{} [doi]"
+    rows = [(f"f{i:03}", record.format(i)) for i in range(301)]
+    assert journal_corpus(spark.createDataFrame(rows, "path string, text string")).count() == 301
+
+
+def test_a_page_without_skip_is_the_first_and_an_unreadable_one_is_named(spark):
+    html = f"<dl id='articles'>{entry('1.1')}</dl>"
+    pages = spark.createDataFrame([(0, BASE, html), (1, f"{BASE}?skip=x", html)], "page_id long, url string, html string")
+    assert preprint_corpus(pages, *details(spark, ["1.1"])).count() == 1
+    assert [(r.page_id, r.reason) for r in L.rejected_listings(pages).collect()] == [(1, "no page number in the address")]
+
+
+def test_blocks_within_blocks(spark):
+    schema = "url string, html string"
+    full = '<div class="ltx_abstract"><div class="t"><h6>Abstract</h6></div><p class="ltx_p">In <b>full</b></p></div><p class="ltx_p">no</p>'
+    assert L.full_text_abstracts(spark.createDataFrame([("u", full)], schema)).first().Abstract == "In full"
+    dated = '<div class="dateline"><div>[v2]</div>[Submitted on 3 Oct 2025]</div>'
+    assert L.abstract_page_dates(spark.createDataFrame([("u", dated)], schema)).first().Date == "03/10/2025"
+    pages = listing(spark, (0, [entry("1.1", title="Title: <div>A</div> B")]))
+    assert L.listing_articles(pages).first().Title.split() == ["A", "B", "1.1"]
+
+
+def test_the_last_copy_of_a_page_counts(spark):
+    schema = "page_id long, url string, html string"
+    page = '<div class="dateline">[Submitted on {}]</div>'
+    rows = [(1, "https://arxiv.org/abs/1.1", page.format("30 Jan 2025")), (2, "https://arxiv.org/abs/1.1", page.format("1 Feb 2025"))]
+    articles = L.listing_articles(listing(spark, (0, [entry("1.1")])))
+    _, full = details(spark, ["1.1"])
+    assert L.article_details(articles, spark.createDataFrame(rows, schema), full).first().Date == "01/02/2025"
+
+
+def test_only_the_attribute_itself_counts(spark):
+    link = '<a data-title="Abstract" href="/abs/9">x</a><a title="Abstract" data-href="/no" href="/abs/1?a=1&amp;b=2">x</a>'
+    html = f"<dl id='articles'><dt>{link}<a title='View HTML' href='h'>h</a></dt><dd><div class='list-title'>T</div></dd></dl>"
+    pages = spark.createDataFrame([(0, BASE, html)], "page_id long, url string, html string")
+    assert L.listing_articles(pages).first().abs_path == "/abs/1?a=1&b=2"
+
+
+def test_why_an_entry_is_no_article(spark):
+    pages = listing(spark, (0, [entry("1.1", abstract=False), entry("1.2", full_text=False), entry("1.3"), entry("1.4", dd=False)]))
+    found = {r.entry_no: r.reason for r in L.rejected_entries(pages).collect()}
+    assert found == {1: "no link to the abstract page", 2: "no link to the full text", 4: "no description"}
