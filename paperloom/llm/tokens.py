@@ -11,25 +11,43 @@ CACHED_CHUNKS = 1_000_000  # encoded chunks that a task remembers; then only the
 KEPT_CHUNKS = 100_000
 LONGEST_CACHED = 40
 STOPS = ".,;:!?"
+LAST_SIMPLE_LETTER = "\u0530"  # Latin, Greek and Cyrillic: letters in every version of the character tables
 SPACE_AFTER_SPACE = re.compile(r"\s ")
 BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 
 
+def byte_symbols() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies.
+
+    Printable Latin-1 characters stand for themselves, the other bytes in
+    ascending order for the characters from U+0100 on.
+    """
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
 class ChunkIds(dict):
     """Ids of chunks that begin with `prefix`, as little-endian bytes; a missing chunk is encoded when asked for.
 
     A word of letters alone and the stops behind it are matched separately by
-    the split pattern, so they are looked up separately.
+    the split pattern, so they are looked up separately, and the word goes to
+    the merges of the file's model without being split again.
     """
 
     def __init__(self, tokenizer, prefix: str, width: str, plain: ChunkIds | None = None):
         super().__init__()
-        self.encode, self.prefix, self.width, self.plain = tokenizer.encode, prefix, width, plain
+        self.encode, self.merge = tokenizer.encode, tokenizer.model.tokenize
+        self.prefix, self.width, self.plain = prefix, width, plain
+        self.symbols = byte_symbols()
 
     def __missing__(self, chunk: str) -> bytes:
         word = chunk.rstrip(STOPS)
         if len(word) < len(chunk) and word.isalpha() and self.plain is not None:
             found = self[word] + self.plain[chunk[len(word) :]]
+        elif chunk.isalpha() and max(chunk) < LAST_SIMPLE_LETTER:
+            spelled = (self.prefix + chunk).encode().decode("latin-1").translate(self.symbols)
+            found = np.array([token.id for token in self.merge(spelled)], self.width).tobytes()
         else:
             found = np.array(self.encode(self.prefix + chunk, add_special_tokens=False).ids, self.width).tobytes()
         if len(chunk) <= LONGEST_CACHED:
