@@ -12,7 +12,7 @@ KEPT_CHUNKS = 100_000
 LONGEST_CACHED = 40
 STOPS = ".,;:!?"
 LAST_SIMPLE_LETTER = "\u0530"  # Latin, Greek and Cyrillic: letters in every version of the character tables
-SPACE_AFTER_SPACE = re.compile(r"\s ")
+SPACE_AFTER_SPACE = re.compile(r"\s\s")
 BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
 
 
@@ -45,7 +45,7 @@ class ChunkIds(dict):
         word = chunk.rstrip(STOPS)
         if len(word) < len(chunk) and word.isalpha() and self.plain is not None:
             found = self[word] + self.plain[chunk[len(word) :]]
-        elif chunk.isalpha() and max(chunk) < LAST_SIMPLE_LETTER:
+        elif chunk.isalpha() and (chunk.isascii() or max(chunk) < LAST_SIMPLE_LETTER):
             spelled = (self.prefix + chunk).encode().decode("latin-1").translate(self.symbols)
             found = np.array([token.id for token in self.merge(spelled)], self.width).tobytes()
         else:
@@ -83,7 +83,10 @@ class ByteLevelEncoder:
             return np.zeros(0, self.width)
         if SPACE_AFTER_SPACE.search(text):
             raw = b"".join(map(self.first.__getitem__, BEFORE_SPACE.split(text)))
-        else:
-            head, *rest = text.split(" ")
-            raw = (self.first[head] if head else b"") + b"".join(map(self.spaced.__getitem__, rest))
+        else:  # each line end is matched alone, each space with the word behind it
+            raw = self.first["\n"].join(map(self._line, text.split("\n")))
         return np.frombuffer(raw, self.width)
+
+    def _line(self, line: str) -> bytes:
+        head, *rest = line.split(" ")
+        return (self.first[head] if head else b"") + b"".join(map(self.spaced.__getitem__, rest))
