@@ -21,9 +21,9 @@ from paperloom.llm.common import range_bounds, range_of, shuffle_width
 from paperloom.llm.tokens import ByteLevelEncoder
 from paperloom.session import fresh_path
 
-BLOCK_TOKENS = 1 << 18
-LANES = 512
-CHECK_STEPS = 256
+BLOCK_TOKENS = 1 << 19
+LANES = 2048
+CHECK_STEPS = 128
 SCALE_BITS = 20
 LOW = np.uint64(1 << 31)
 WORD_BITS = np.uint64(32)
