@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from paperloom.functions.text import combined_text
+from paperloom.functions.wordlists import stop_words
 from paperloom.operators.grams import FEATURES, term_counts
+from paperloom.operators.normalize import categories, normalize_documents
 from paperloom.operators.weights import document_count, term_table, with_idf, with_norms
 from paperloom.plans.build_corpus import normalized_corpus
 from paperloom.session import materialise
@@ -47,11 +49,25 @@ def build_index(docs: DataFrame, base: str, corpus: str, features=FEATURES, buck
 
 
 def index_articles(
-    articles: DataFrame, base: str, corpus: str, id_col: str = "doc_id", compat: bool = False, tokenizer=None
+    articles: DataFrame,
+    base: str,
+    corpus: str,
+    id_col: str = "doc_id",
+    compat: bool = False,
+    tokenizer=None,
+    lemmas: DataFrame | None = None,
 ) -> None:
     """From an article table to its stored index: normalise, combine title and abstract, weigh.
 
-    The normalised texts are written once; they are read for both features.
+    The normalised texts are written once; they are read for both features. A
+    lemma table (token, lemma) is stored with the index, and searches apply it
+    to their queries.
     """
-    normal = normalized_corpus(articles, compat, tokenizer)
-    build_index(materialise(corpus_texts(normal, id_col), "texts"), base, corpus)
+    if lemmas is None:
+        texts = corpus_texts(normalized_corpus(articles, compat, tokenizer), id_col)
+    else:
+        stop = stop_words(categories("corpus", compat))
+        found = normalize_documents(corpus_texts(articles, id_col), lemmas, stop)
+        texts = found.select("doc_id", F.col("normalized").alias("text"))
+        index_store.write_lemmas(lemmas, base, corpus)
+    build_index(materialise(texts, "texts"), base, corpus)

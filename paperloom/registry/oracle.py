@@ -304,6 +304,43 @@ toks AS (
   FROM (SELECT doc_id, {WORDS} AS w FROM combined)
 )"""
 
+
+
+def _split_kept(rows, key):
+    """(key, token, pos) of the tokens of `rows` (key, text) that the word lists leave."""
+    return f"""SELECT * FROM (
+  SELECT {key}, unnest(p) AS token, unnest(range(len(p))) AS pos FROM (SELECT {key}, {_pieces('text')} AS p FROM {rows})
+) WHERE token NOT IN ({_quoted(_STOP)})"""
+
+
+_LEMMA_TOKENS = f"""{_ARTICLES},
+raw_texts AS (SELECT doc_id, ({_blanked('"Title"')}) || ' ' || ({_blanked('"Abstract"')}) AS text FROM articles),
+kept AS ({_split_kept('raw_texts', 'doc_id')}),
+vocab AS (SELECT DISTINCT token FROM kept),
+proposed AS (
+{_PROPOSALS}
+),
+lemmas AS (
+  SELECT token, arg_min(lemma, rule_no) AS lemma
+  FROM proposed WHERE lemma IN (SELECT token FROM vocab) GROUP BY token
+),
+combined AS (
+  SELECT doc_id, string_agg(coalesce(lemma, token), ' ' ORDER BY pos) AS text
+  FROM kept LEFT JOIN lemmas USING (token) GROUP BY doc_id
+),
+toks AS (
+  SELECT doc_id, unnest(w) AS term, unnest(range(len(w))) AS pos
+  FROM (SELECT doc_id, {WORDS} AS w FROM combined)
+)"""
+_LEMMA_ASKED = f"""
+files AS (SELECT item_id AS doc_id, text, 'en' AS lang, 'asked' AS source, length(text) AS n_chars FROM benchmark),
+plain AS ({_file_text('files')}),
+asked_kept AS ({_split_kept('plain', 'doc_id')}),
+asked AS (
+  SELECT doc_id AS query_id, string_agg(coalesce(lemma, token), ' ' ORDER BY pos) AS text
+  FROM asked_kept LEFT JOIN lemmas USING (token) GROUP BY doc_id
+)"""
+
 ORACLE_SQL = {
     "top10_similar": _top_sql("unigram", "tfidf"),
     "tokens": f"WITH {_TOKENS} SELECT doc_id, CAST(pos AS INTEGER) AS pos, term FROM toks",
@@ -329,6 +366,7 @@ SELECT query_id, term, df, round(w / norm, 6) AS weight FROM qw JOIN qn USING (q
     "load_index": f"WITH {_TOKENS}, {_BIGRAM_TF} SELECT doc_id, term, tf, CAST(tf AS DOUBLE) AS weight FROM tf",
     "search_variants": _VARIANTS,
     "search_files": _padded_sql("unigram", "tfidf", _ARTICLE_TOKENS, _ASKED_FILES),
+    "search_lemmas": _padded_sql("unigram", "tfidf", _LEMMA_TOKENS, _LEMMA_ASKED),
     "normalize_docs": _NORMAL_DOCS,
     "normalize_compat": f"WITH {_ARTICLES} SELECT doc_id, {_NORMAL_TITLE(_KEEP_AND)}, {_NORMAL_ABSTRACT(_KEEP_AND)} FROM articles",
     "lemma_join": _LEMMA_SQL,

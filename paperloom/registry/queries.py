@@ -225,6 +225,16 @@ def search_files(spark, sf_dir):
     return search.search_files(spark, inputs.query_files(spark, sf_dir), base, CORPUS, key="doc_id")
 
 
+def search_lemmas(spark, sf_dir):
+    """As `search_files`, with the words of both sides replaced by their lemmas."""
+    base = fresh_path(spark, "index")
+    articles = inputs.articles(spark, sf_dir)
+    tokens = normalize.kept_tokens(build_index.corpus_texts(articles)).where(F.col("token").isNotNull())
+    lemmas = normalize.suffix_lemmas(materialise(tokens.select("token").distinct(), "vocabulary"))
+    build_index.index_articles(articles, base, CORPUS, lemmas=materialise(lemmas, "lemmas"))
+    return search.search_files(spark, inputs.query_files(spark, sf_dir), base, CORPUS, key="doc_id")
+
+
 def parse_pubdate(spark, sf_dir):
     raw = inputs.table(spark, sf_dir, "documents").select("doc_id", inputs.citation_dates().alias("raw"))
     return raw.select(
@@ -348,6 +358,7 @@ QUERIES = {
     "load_index": load_index,
     "search_variants": search_variants,
     "search_files": search_files,
+    "search_lemmas": search_lemmas,
     "normalize_docs": normalize_docs,
     "normalize_compat": normalize_compat,
     "lemma_join": lemma_join,

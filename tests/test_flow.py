@@ -36,3 +36,16 @@ def test_exports_to_ranking(spark, tmp_path):
     best = {r.query_id.rsplit("/", 1)[-1]: r.doc_id for r in found.where("rank = 1").collect()}
     assert best == {"q.bib": 2, "q.ris": 1}
     assert found.count() == 8  # a corpus of fewer than ten gives all of it
+
+
+def test_lemmas_on_both_sides(spark, tmp_path):
+    rows = [(0, "Neural networks studies", "Of networks"), (1, "Neural network study", None), (2, "Other things", "x")]
+    articles = spark.createDataFrame(rows, "doc_id long, Title string, Abstract string")
+    lemmas = spark.createDataFrame([("networks", "network"), ("studies", "study")], "token string, lemma string")
+    normal = normalized_corpus(articles, lemmas=lemmas, id_col="doc_id").orderBy("doc_id").collect()
+    assert [tuple(r) for r in normal[:2]] == [(0, "neural network study", "network"), (1, "neural network study", "")]
+    index_articles(articles, str(tmp_path / "index"), "c", lemmas=lemmas)
+    (tmp_path / "queries").mkdir()
+    (tmp_path / "queries" / "q.bib").write_text("@article{q, title={The studies}}")
+    found = search_entries(spark, read_entries(spark, str(tmp_path / "queries")), str(tmp_path / "index"), "c")
+    assert {r.doc_id for r in found.where("score > 0").collect()} == {0, 1}
