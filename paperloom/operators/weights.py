@@ -53,8 +53,8 @@ def unit_weight(weighting: str) -> Column:
     return raw_weight(weighting) / F.col(f"norm_{weighting}")
 
 
-def with_norms(counts_idf: DataFrame, buckets: int) -> DataFrame:
-    """Add the row length of the document under each weighting to its postings.
+def with_norms(counts_idf: DataFrame, buckets: int, weightings=WEIGHTINGS) -> DataFrame:
+    """Add the row length of the document under each of the weightings to its postings.
 
     One shuffle by document into `buckets` parts serves all three norms, the
     bucketed write and the searches; a document's postings are bounded by its
@@ -68,7 +68,7 @@ def with_norms(counts_idf: DataFrame, buckets: int) -> DataFrame:
         return F.sqrt(F.sum(raw_weight(weighting) * raw_weight(weighting)).over(doc)).alias(f"norm_{weighting}")
 
     spread = counts_idf.repartition(buckets, "doc_id")
-    return spread.select("doc_id", "term", "tf", "idf", *[norm(w) for w in WEIGHTINGS])
+    return spread.select("doc_id", "term", "tf", "idf", *[norm(w) for w in weightings])
 
 
 def document_norms(counts_idf: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from paperloom.functions.text import combined_text
 from paperloom.functions.wordlists import stop_words
 from paperloom.operators.grams import FEATURES, term_counts
 from paperloom.operators.normalize import categories, normalize_documents
-from paperloom.operators.weights import document_count, term_table, with_idf, with_norms
+from paperloom.operators.weights import WEIGHTINGS, document_count, term_table, with_idf, with_norms
 from paperloom.plans.build_corpus import normalized_corpus
 from paperloom.session import materialise
 from paperloom.sources import index_store
@@ -19,16 +19,20 @@ def corpus_texts(articles: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return articles.select(F.col(id_col).alias("doc_id"), combined_text(F.col("Title"), F.col("Abstract")).alias("text"))
 
 
-def feature_tables(docs: DataFrame, feature: str, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(postings, terms) of one feature from (doc_id, text).
+def feature_tables(
+    docs: DataFrame, feature: str, buckets: int | None = None, weightings=WEIGHTINGS
+) -> tuple[DataFrame, DataFrame]:
+    """(postings, terms) of one feature from (doc_id, text), with the norms of the given weightings.
 
     Counts and terms are written once: they are read by the frequent and the
-    rare branch of the idf join, and tokenising must not be repeated.
+    rare branch of the idf join, and tokenising must not be repeated. Only
+    tf-idf needs that join.
     """
     counts = materialise(term_counts(docs, feature), f"counts-{feature}")
     terms = materialise(term_table(counts, document_count(docs)), f"terms-{feature}")
     buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return with_norms(with_idf(counts, terms), buckets), terms
+    weighed = with_idf(counts, terms) if "tfidf" in weightings else counts.withColumn("idf", F.lit(None).cast("double"))
+    return with_norms(weighed, buckets, weightings), terms
 
 
 def build_index(docs: DataFrame, base: str, corpus: str, features=FEATURES, buckets: int | None = None) -> None:

@@ -82,7 +82,7 @@ def cosine_scores(spark, sf_dir):
 
 def _search(spark, sf_dir, feature, weighting, padded=False):
     docs = inputs.documents(spark, sf_dir)
-    postings, terms = build_index.feature_tables(docs, feature)
+    postings, terms = build_index.feature_tables(docs, feature, weightings=(weighting,))
     queries = inputs.queries(spark, sf_dir)
     return search.search_tables(queries, postings, terms, docs, feature, weighting, padded=padded)
 

@@ -1,4 +1,4 @@
-"""Article tables as delimited text; Parquet stays the form for anything large."""
+"""Article tables: Parquet for anything large, delimited text for exchange."""
 
 from __future__ import annotations
 
@@ -18,6 +18,16 @@ def article_schema(columns=PREPRINT_COLUMNS) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in columns])
 
 
+def write_articles(articles: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """The article table as Parquet: splittable, and read by column."""
+    articles.write.mode(mode).parquet(path)
+
+
+def read_articles(spark: SparkSession, path: str) -> DataFrame:
+    """An article table written as Parquet, with the publication date added as a date."""
+    return spark.read.parquet(path).withColumn("pub_date", published_on(F.col("Date")))
+
+
 def write_delimited(articles: DataFrame, path: str, separator: str = "\t", mode: str = "errorifexists") -> None:
     """Delimited text with a header; refuses to write a table without articles.
 

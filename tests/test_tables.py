@@ -65,3 +65,13 @@ def test_exports_are_collected_once_as_they_arrive(spark, tmp_path):
         got = spark.read.parquet(out)
         assert sorted(r.DOI for r in got.collect()) == [f"10.1/{i}" for i in range(1, round_no + 1)]
         assert {r.Abstract for r in got.collect()} == {"B more"}
+
+
+def test_article_table_as_parquet(spark, tmp_path):
+    from paperloom.sources.tables import read_articles, write_articles
+
+    rows = [("1", "T", "A", "line\nbreak", "S", "03/10/2025")]
+    articles = spark.createDataFrame(rows, "DOI string, Title string, Authors string, Abstract string, Section string, Date string")
+    write_articles(articles, str(tmp_path / "articles"))
+    (row,) = read_articles(spark, str(tmp_path / "articles")).collect()
+    assert row.Abstract == "line\nbreak" and str(row.pub_date) == "2025-10-03"
