@@ -136,8 +136,9 @@ def imatch_neighbours(
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("next_text", F.lit(1), half))
     with_edit = pairs.select("at", "place", "guest", "id", "text", F.when(~F.col("guest"), edited).alias("edited"))
     # a head row carries the columns of the result; two further rows carry the texts to split
+    digest = F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256")
     head = F.struct(
-        F.struct("id", F.length("text").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "guest").alias("head"),
+        F.struct("id", F.length("text").alias("n_chars"), digest, "guest").alias("head"),
         F.lit(None).cast("array<string>").alias("ts"),
         F.lit(0).alias("kind"),
     )

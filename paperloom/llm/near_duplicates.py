@@ -155,7 +155,8 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         )
         hooked = materialise(hooked, "labels")
         jump = hooked.select(F.col("node").alias("next"), F.col("next").alias("after"))
-        jumped = hooked.join(jump, "next").select("node", F.col("after").alias("comp"), (F.col("after") != F.col("comp")).alias("moved"))
+        moved = (F.col("after") != F.col("comp")).alias("moved")
+        jumped = hooked.join(jump, "next").select("node", F.col("after").alias("comp"), moved)
         labels = materialise(jumped, "labels")
         if not labels.where("moved").limit(1).count():
             return labels.select("node", "comp")
