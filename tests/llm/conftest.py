@@ -1,6 +1,9 @@
 import pytest
 
-LOREM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega"
+LOREM = (
+    "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu "
+    "nu xi omicron pi rho sigma tau upsilon phi chi psi omega"
+)
 
 
 @pytest.fixture(scope="session")

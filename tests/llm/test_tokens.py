@@ -1,4 +1,3 @@
-import hashlib
 import zlib
 from collections import Counter, defaultdict
 
@@ -17,7 +16,8 @@ from paperloom.session import fresh_path
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECES = st.sampled_from(
-    ["word", "Word", "don't", "'s", ".", ",,", "!?", " ", "  ", "\n", "\t", "\x1c", "\x85", " ", "é", "²", "12", "中", "😀", "_", "<|endoftext|>"]
+    ["word", "Word", "don't", "'s", ".", ",,", "!?", " ", "  ", "\n", "\t", "\x1c", "\x85", " "]
+    + ["é", "²", "12", "中", "😀", "_", "<|endoftext|>"]
 )
 
 
@@ -145,7 +145,7 @@ def test_every_id_lies_in_one_piece(library, odd_docs, no_docs):
             at += length
         assert at <= 64
     assert sum(r.length for r in rows) == sum(len(k) * n for k, n in wanted.items())
-    whole = Counter(hashlib.md5(b"".join(bytes(r.ids) for r in sorted(v, key=lambda r: r.start))).hexdigest() for v in by_doc.values() if len({r.start for r in v}) == len(v))
-    known = {hashlib.md5(np.array(k, "<u4").tobytes()).hexdigest() for k in wanted}
-    assert whole and set(whole) <= known
+    single = [sorted(v, key=lambda r: r.start) for v in by_doc.values() if len({r.start for r in v}) == len(v)]
+    known = {np.array(k, "<u4").tobytes() for k in wanted}
+    assert single and {b"".join(bytes(r.ids) for r in v) for v in single} <= known
     assert pack_sequences(no_docs, BPE, 1).count() == 0
