@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from paperloom.session import materialise
 
@@ -28,7 +28,8 @@ BATCH_SHINGLES = 150_000
 CACHED_WORDS = 300_000
 SPLIT = r"[ \t\n\x0B\f\r]+"
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
-GROWTH = 4  # leaders of a bucket in a round, times those of the round before
+SMALL_BUCKET = 8  # up to so many nodes every pair between classes is compared
+STARS = 3  # further leaders of a larger bucket before it is split by a second band
 
 
 def word_weights(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, np.ndarray, float]:
@@ -162,6 +163,12 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return labels.select("node", "comp")
 
 
+def crowded(rows: DataFrame) -> DataFrame:
+    """Rows (bucket, node, last) of the buckets with more than one node, with their size; written once."""
+    sizes = F.count(F.lit(1)).over(W.partitionBy("bucket"))
+    return materialise(rows.withColumn("size", sizes).where(F.col("size") > 1), "bucket-members")
+
+
 def near_duplicate_classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
@@ -170,11 +177,13 @@ def near_duplicate_classes(
     Returns doc_id, text_key (md5 of the text), class_id (the least id of the
     class) and keeps (true for the row that stands for the class: the least
     id, then the least text_key). Equal texts are one node of the search.
-    Nodes that share a band are compared with the least node of the bucket
-    first; while a bucket still has nodes of several classes, 4, 16, 64, ...
-    of its nodes chosen by hash are compared with those of other classes, until
-    all pairs between classes have been compared. So a group of copies costs
-    one comparison for each member, and no link is dropped.
+    Every class of a bucket, at first each node, sends one member, chosen by
+    hash, to be compared with the bucket's leader; so a group of copies costs
+    one comparison for each member. A bucket of up to SMALL_BUCKET nodes that
+    still has several classes is compared pair by pair. A larger one gets other
+    leaders, then its classes are split by a second band, a third, and so on:
+    unlike documents that share one much repeated passage part ways there, and
+    the work stays in proportion to the nodes.
 
     Null texts count as empty, and all texts without a word are one class;
     texts of fewer than five words are one shingle. Repeated rows are in one
@@ -204,16 +213,9 @@ def near_duplicate_classes(
                     held, size, begin = [], 0, at + 1
 
     signed = materialise(base.mapInPandas(sign, "doc_id long, text_key string, bands array<long>"), "signatures")
-    nodes = signed.groupBy(F.col("text_key").alias("node")).agg(
-        F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")
-    )
-    spots = nodes.select("node", F.posexplode("bands").alias("band_no", "band"))
-    crowded = spots.groupBy("band_no", "band").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("least"))
-    crowded = crowded.where(F.col("size") > 1)
-    bucket = F.xxhash64("band_no", "band").alias("bucket")
-    members = materialise(
-        spots.join(crowded, ["band_no", "band"]).select(bucket, "node", "size", "least"), "bucket-members"
-    )
+    nodes = signed.groupBy(F.col("text_key").alias("node")).agg(F.first("bands").alias("bands"))
+    spots = nodes.select("node", F.posexplode("bands").alias("last", "band"))
+    members = crowded(spots.select(F.xxhash64("last", "band").alias("bucket"), "node", "last"))
     asked = members.select(F.col("node").alias("text_key")).distinct()
     # partly combined before the shuffle, so copies of one text do not meet in one task
     texts = base.groupBy("text_key").agg(F.first("text").alias("text")).join(asked, "text_key", "left_semi")
@@ -231,50 +233,68 @@ def near_duplicate_classes(
                 linked.append(weighted_jaccard(last[1], shingles.of(text_b)) >= threshold)
             yield batch[["a", "b"]].assign(linked=linked)
 
-    tested, leaders, open_members = None, 0, members
-    while True:
-        now = open_members.join(labels, "node")
-        if leaders == 0:
-            leads = now.where(F.col("node") == F.col("least"))
-        else:
-            leads = now.where(F.pmod(F.xxhash64("node", "bucket"), F.col("size")) < leaders)
-        leads = leads.select("bucket", F.col("node").alias("lead"), F.col("comp").alias("lead_comp"))
-        pairs = (
-            now.join(leads, "bucket")
-            .where(F.col("comp") != F.col("lead_comp"))
-            .select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b"))
-            .distinct()
-        )
+    tested: DataFrame | None = None
+
+    def compare(pairs: DataFrame) -> None:
+        """Verify pairs that were not yet compared and join the classes of those that are linked."""
+        nonlocal labels, tested
+        ordered = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        with_b = pairs.join(texts.select(F.col("text_key").alias("b"), F.col("text").alias("text_b")), "b")
+            ordered = ordered.join(tested, ["a", "b"], "left_anti")
+        with_b = ordered.join(texts.select(F.col("text_key").alias("b"), F.col("text").alias("text_b")), "b")
         with_both = with_b.join(texts.select(F.col("text_key").alias("a"), F.col("text").alias("text_a")), "a")
-        result = materialise(
-            with_both.select("a", "b", "text_a", "text_b").mapInPandas(verify, "a string, b string, linked boolean"),
-            "pairs",
-        )
+        asked_pairs = with_both.select("a", "b", "text_a", "text_b")
+        result = materialise(asked_pairs.mapInPandas(verify, "a string, b string, linked boolean"), "pairs")
         tested = result.select("a", "b") if tested is None else tested.union(result.select("a", "b"))
         label = lambda end: labels.select(F.col("node").alias(end), F.col("comp").alias(f"{end}_comp"))
-        between = (
-            result.where("linked").join(label("a"), "a").join(label("b"), "b")
-            .select(F.col("a_comp").alias("a"), F.col("b_comp").alias("b"))
-            .distinct()
-        )
+        linked = result.where("linked").join(label("a"), "a").join(label("b"), "b")
+        between = linked.select(F.col("a_comp").alias("a"), F.col("b_comp").alias("b")).distinct()
         between = materialise(between, "links")
-        if between.limit(1).count():
-            ends = between.select(F.col("a").alias("node")).union(between.select(F.col("b").alias("node"))).distinct()
-            merged = components(ends, between)
-            moved = merged.select(F.col("node").alias("comp"), F.col("comp").alias("into"))
-            labels = labels.join(moved, "comp", "left").select("node", F.coalesce("into", "comp").alias("comp"))
-            labels = materialise(labels, "labels")
-        # a bucket is done when its nodes are one class, or when all of them have led
-        spread = open_members.join(labels, "node").groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        unsettled = spread.where(F.col("lo") != F.col("hi")).select("bucket")
-        pending = open_members.where(F.col("size") > max(2, leaders)).join(unsettled, "bucket", "left_semi")
-        open_members = materialise(pending, "bucket-members")
-        if not open_members.limit(1).count():
-            break
-        leaders = max(1, leaders) * GROWTH
+        if not between.limit(1).count():
+            return
+        ends = between.select(F.col("a").alias("node")).union(between.select(F.col("b").alias("node"))).distinct()
+        moved = components(ends, between).select(F.col("node").alias("comp"), F.col("comp").alias("into"))
+        joined = labels.join(moved, "comp", "left").select("node", F.coalesce("into", "comp").alias("comp"))
+        labels = materialise(joined, "labels")
+
+    def unsettled(rows: DataFrame) -> DataFrame:
+        """Rows of the buckets that have several classes."""
+        spread = rows.join(labels, "node").groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        return materialise(rows.join(spread.where("lo <> hi").select("bucket"), "bucket", "left_semi"), "open-buckets")
+
+    def one_of_each_class(rows: DataFrame, seed: int) -> DataFrame:
+        order = F.struct(F.xxhash64("node", "bucket", F.lit(seed)).alias("h"), "node", "last")
+        return rows.join(labels, "node").groupBy("bucket", "comp").agg(F.min(order).alias("one"))
+
+    def star(rows: DataFrame, seed: int) -> None:
+        """Compare one node of each class of a bucket with the leader among them."""
+        ones = one_of_each_class(rows, seed)
+        leaders = ones.groupBy("bucket").agg(F.min("one").alias("lead"))
+        met = ones.join(leaders, "bucket").where(F.col("one.node") != F.col("lead.node"))
+        compare(met.select(F.col("one.node").alias("x"), F.col("lead.node").alias("y")))
+
+    def every_pair(rows: DataFrame) -> None:
+        """Compare all nodes of different classes; for small buckets only."""
+        left = rows.join(labels, "node").select("bucket", F.col("node").alias("x"), F.col("comp").alias("x_comp"))
+        right = left.select("bucket", F.col("x").alias("y"), F.col("x_comp").alias("y_comp"))
+        met = left.join(right, "bucket").where((F.col("x") < F.col("y")) & (F.col("x_comp") != F.col("y_comp")))
+        compare(met.select("x", "y"))
+
+    rows = members
+    while rows.limit(1).count():
+        star(rows, 0)
+        still = unsettled(rows.where(F.col("size") > 2))
+        every_pair(still.where(F.col("size") <= SMALL_BUCKET))
+        large = still.where(F.col("size") > SMALL_BUCKET)
+        for seed in range(1, STARS + 1):
+            large = unsettled(large)
+            if not large.limit(1).count():
+                break
+            star(large, seed)
+        ones = one_of_each_class(unsettled(large), STARS + 1).select("bucket", "one.node", "one.last")
+        finer = ones.join(nodes, "node").select("bucket", "node", "last", F.posexplode("bands").alias("next", "band"))
+        finer = finer.where(F.col("next") > F.col("last"))
+        rows = crowded(finer.select(F.xxhash64("bucket", "next", "band").alias("bucket"), "node", F.col("next").alias("last")))
 
     grouped = signed.select("doc_id", "text_key").join(labels.withColumnRenamed("node", "text_key"), "text_key", "left")
     grouped = grouped.withColumn("comp", F.coalesce("comp", "text_key"))
