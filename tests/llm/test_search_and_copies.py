@@ -131,19 +131,18 @@ def test_classes_of_near_duplicates(spark):
     assert all(r.keeps == (r.doc_id == r.class_id) for r in got)
 
 
-def test_a_bucket_of_unlike_documents_is_searched_to_the_end(spark, monkeypatch):
-    """All in one bucket, linked in pairs only: every pair between classes is compared."""
-    monkeypatch.setattr(N, "BANDS", 1)
-    monkeypatch.setattr(N, "ROWS", 1)
-    shared = " ".join(f"s{i}" for i in range(60))
+def test_pairs_among_many_unlike_documents_with_one_passage(spark, monkeypatch):
+    """All share a long passage, so they meet in large buckets; each has one near copy."""
+    monkeypatch.setattr(N, "SMALL_BUCKET", 3)
+    monkeypatch.setattr(N, "STARS", 1)
+    shared = " ".join(f"s{i}" for i in range(120))
     texts = {}
-    for i in range(30):
-        own = " ".join(f"o{i // 2}x{j}" for j in range(40))
+    for i in range(80):
+        own = " ".join(f"o{i // 2}x{j}" for j in range(60))
         texts[i] = f"{shared} {own}" + (" end" if i % 2 else "")
     docs = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id long, text string")
-    monkeypatch.setattr(N.Sampler, "bands", lambda self, vectors: __import__("numpy").ones((len(vectors), 1), "int64"))
     got = {r.doc_id: r.class_id for r in N.near_duplicate_classes(docs).collect()}
-    assert got == {i: i - i % 2 for i in range(30)}
+    assert got == {i: i - i % 2 for i in range(80)}
 
 
 def test_odd_rows_of_classes(odd_docs, no_docs):
