@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from paperloom.llm.common import range_bounds, range_of, shuffle_width
@@ -28,6 +29,11 @@ SCALE_BITS = 20
 LOW = np.uint64(1 << 31)
 WORD_BITS = np.uint64(32)
 RAW_SCHEMA = "range int, first long, doc_ids binary, null_ids binary, lengths binary, ids binary"
+RAW_FIELDS = pa.schema(
+    [("range", pa.int32()), ("first", pa.int64())]
+    + [(name, pa.binary()) for name in ("doc_ids", "null_ids", "lengths", "ids")]
+)
+BATCH_TEXTS = 128
 BLOCK_SCHEMA = (
     "first_token long, n_tokens long, doc_ids binary, null_ids binary, lengths binary, "
     "words binary, ends binary, states binary, checksums binary"
@@ -152,13 +158,13 @@ def write_token_files(
     ranged = base.withColumn("range", range_of(F.col("id"), bounds)).repartition(parts, "range")
     ordered = ranged.sortWithinPartitions("range", F.col("id").asc_nulls_first(), "text")
 
-    def tokenise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, current, first = ByteLevelEncoder(tokenizer_path), None, 0
         ids: list[np.ndarray] = []
         owners: list[tuple[int, bool]] = []
         end = np.array([end_id], "<u4")
 
-        def block() -> pd.DataFrame:
+        def block() -> pa.RecordBatch:
             lengths = np.array([len(x) for x in ids], "<i8")
             row = {
                 "range": current,
@@ -168,26 +174,27 @@ def write_token_files(
                 "lengths": lengths.tobytes(),
                 "ids": np.concatenate(ids).astype(encoder.width).tobytes(),
             }
-            return pd.DataFrame([row])
+            return pa.RecordBatch.from_pylist([row], schema=RAW_FIELDS)
 
         held = 0
-        for batch in batches:
-            for number, doc_id, text in zip(batch["range"].tolist(), batch["id"].tolist(), batch["text"].tolist()):
+        # a few texts at a time become Python strings
+        pieces = (b.slice(at, BATCH_TEXTS).to_pydict() for b in batches for at in range(0, b.num_rows, BATCH_TEXTS))
+        for piece in pieces:
+            for number, doc_id, text in zip(piece["range"], piece["id"], piece["text"]):
                 if ids and (number != current or held >= block_tokens):
                     yield block()
                     first, ids, owners, held = first + held, [], [], 0
                 if number != current:
                     current, first = number, 0
                 ids.append(np.concatenate([encoder.encode(text).astype("<u4"), end]))
-                missing = doc_id is None or doc_id != doc_id
-                owners.append((0 if missing else int(doc_id), missing))
+                owners.append((doc_id or 0, doc_id is None))
                 held += len(ids[-1])
         if ids:
             yield block()
 
     width = "<u2" if _fits_two_bytes(tokenizer_path, end_id) else "<u4"
     raw_path = fresh_path(spark, "raw-ids")
-    ordered.mapInPandas(tokenise, RAW_SCHEMA).write.option("compression", "zstd").parquet(raw_path)
+    ordered.mapInArrow(tokenise, RAW_SCHEMA).write.option("compression", "zstd").parquet(raw_path)
     raw = spark.read.schema(RAW_SCHEMA).parquet(raw_path)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

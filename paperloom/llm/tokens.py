@@ -7,7 +7,7 @@ import re
 
 import numpy as np
 
-CACHED_CHUNKS = 1_000_000  # encoded chunks that a task remembers; then only the earliest, mostly frequent ones stay
+CACHED_CHUNKS = 400_000  # encoded chunks that a task remembers; then only the earliest, mostly frequent ones stay
 KEPT_CHUNKS = 100_000
 LONGEST_CACHED = 40
 STOPS = ".,;:!?"
