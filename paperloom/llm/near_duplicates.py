@@ -30,6 +30,7 @@ SPLIT = r"[ \t\n\x0B\f\r]+"
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 SMALL_BUCKET = 8  # up to so many nodes every pair between classes is compared
 STARS = 3  # further leaders of a larger bucket before it is split by a second band
+SPLITS = 2  # times that a large bucket is split by a further band
 
 
 def word_weights(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, np.ndarray, float]:
@@ -181,9 +182,10 @@ def near_duplicate_classes(
     hash, to be compared with the bucket's leader; so a group of copies costs
     one comparison for each member. A bucket of up to SMALL_BUCKET nodes that
     still has several classes is compared pair by pair. A larger one gets other
-    leaders, then its classes are split by a second band, a third, and so on:
+    leaders, then its classes are split by a second band and by a third:
     unlike documents that share one much repeated passage part ways there, and
-    the work stays in proportion to the nodes.
+    the work stays in proportion to the nodes. In buckets that are large even
+    then the leaders decide.
 
     Null texts count as empty, and all texts without a word are one class;
     texts of fewer than five words are one shingle. Repeated rows are in one
@@ -281,7 +283,9 @@ def near_duplicate_classes(
         compare(met.select("x", "y"))
 
     rows = members
-    while rows.limit(1).count():
+    for split in range(SPLITS + 1):
+        if not rows.limit(1).count():
+            break
         star(rows, 0)
         still = unsettled(rows.where(F.col("size") > 2))
         every_pair(still.where(F.col("size") <= SMALL_BUCKET))
@@ -291,6 +295,8 @@ def near_duplicate_classes(
             if not large.limit(1).count():
                 break
             star(large, seed)
+        if split == SPLITS:
+            break
         ones = one_of_each_class(unsettled(large), STARS + 1).select("bucket", "one.node", "one.last")
         finer = ones.join(nodes, "node").select("bucket", "node", "last", F.posexplode("bands").alias("next", "band"))
         finer = finer.where(F.col("next") > F.col("last"))
