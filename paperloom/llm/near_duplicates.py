@@ -29,8 +29,11 @@ CACHED_WORDS = 300_000
 SPLIT = r"[ \t\n\x0B\f\r]+"
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 SMALL_BUCKET = 8  # up to so many nodes every pair between classes is compared
-STARS = 3  # further leaders of a larger bucket before it is split by a second band
-SPLITS = 2  # times that a large bucket is split by a further band
+STARS = 3  # further leaders of a larger bucket before all its nodes are compared in blocks
+BLOCK = 128  # nodes of a block
+BLOCK_BYTES = 1 << 20  # of its texts
+FEATURES = 4096  # columns of a dense part of a block's matrix
+NEAR = 1e-3  # pairs so far below the threshold by single precision are still verified exactly
 
 
 def word_weights(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, np.ndarray, float]:
@@ -138,6 +141,64 @@ def weighted_jaccard(a: Vector, b: Vector) -> float:
     return best
 
 
+def overlaps(left: list[Vector], right: list[Vector]) -> tuple[np.ndarray, np.ndarray]:
+    """What `left` and `right` share, by tf-idf and by counts, in single precision.
+
+    A shingle that occurs t times is t features of the same weight, so the sum
+    of the smaller weights is a product of two matrices of zeros and ones.
+    """
+    held = left + right
+    sizes = np.array([int(v[2].sum()) for v in held])
+    times = np.concatenate([v[2] for v in held]).astype("int64")
+    weights = np.repeat(np.concatenate([v[1] for v in held]) / times, times)
+    nth = np.arange(len(weights)) - np.repeat(np.cumsum(times) - times, times)
+    names = np.repeat(np.concatenate([v[0] for v in held]), times) ^ (nth.astype("uint64") * np.uint64(MIX[2]))
+    owner = np.repeat(np.arange(len(held)), sizes)
+    order = np.argsort(names, kind="stable")
+    names, owner, weights = names[order], owner[order], weights[order]
+    starts = np.flatnonzero(np.append(True, names[1:] != names[:-1])[: len(names)])
+    column = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(names))))
+    # only what both sides have adds to a sum
+    in_left = np.logical_or.reduceat(owner < len(left), starts)
+    in_right = np.logical_or.reduceat(owner >= len(left), starts)
+    both = in_left & in_right
+    number = np.cumsum(both) - 1
+    chosen = both[column]
+    owner, column, weight = owner[chosen], number[column[chosen]], weights[starts[both]].astype("float32")
+    by_weight, by_count = np.zeros((2, len(left), len(right)), "float32")
+    for start in range(0, len(weight), FEATURES):
+        lo, hi = np.searchsorted(column, [start, start + FEATURES])
+        part = weight[start : start + FEATURES]
+        has = np.zeros((len(held), len(part)), "float32")
+        has[owner[lo:hi], column[lo:hi] - start] = 1
+        a, b = has[: len(left)], has[len(left) :].T
+        by_count += a @ b
+        by_weight += (a * part) @ b
+    return by_weight, by_count
+
+
+def links(vectors: list[Vector], comps: np.ndarray, one_side: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Linked pairs that join all classes that any pair of `one_side` with any vector joins."""
+    comps = comps.copy()
+    rows = np.flatnonzero(one_side)
+    sums = np.array([[v[1].sum(), v[2].sum()] for v in vectors], "float32")
+    found = []
+    shared = overlaps([vectors[i] for i in rows], vectors)
+    best = np.zeros((len(rows), len(vectors)), "float32")
+    for kind in (0, 1):
+        union = sums[rows, kind][:, None] + sums[:, kind][None, :] - shared[kind]
+        best = np.maximum(best, shared[kind] / np.maximum(union, 1e-9))
+    for at, i in enumerate(rows):
+        near = np.flatnonzero((best[at] >= threshold - NEAR) & (comps != comps[i]))
+        while len(near):
+            j, near = near[0], near[1:]
+            if weighted_jaccard(vectors[i], vectors[j]) >= threshold:
+                found.append((int(i), int(j)))
+                comps[comps == comps[j]] = comps[i]
+                near = near[comps[near] != comps[i]]
+    return found
+
+
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Least node of each connected component: (node, comp) for all `nodes`, with edges (a, b).
 
@@ -165,7 +226,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def crowded(rows: DataFrame) -> DataFrame:
-    """Rows (bucket, node, last) of the buckets with more than one node, with their size; written once."""
+    """Rows (bucket, node) of the buckets with more than one node, with their size; written once."""
     sizes = F.count(F.lit(1)).over(W.partitionBy("bucket"))
     return materialise(rows.withColumn("size", sizes).where(F.col("size") > 1), "bucket-members")
 
@@ -182,10 +243,12 @@ def near_duplicate_classes(
     hash, to be compared with the bucket's leader; so a group of copies costs
     one comparison for each member. A bucket of up to SMALL_BUCKET nodes that
     still has several classes is compared pair by pair. A larger one gets other
-    leaders, then its classes are split by a second band and by a third:
-    unlike documents that share one much repeated passage part ways there, and
-    the work stays in proportion to the nodes. In buckets that are large even
-    then the leaders decide.
+    leaders, which join most copies; if it still has several classes, its nodes
+    are dealt into blocks and all nodes of different classes are compared, each
+    pair of blocks as one product of small matrices. So every two nodes that
+    share a band are compared or are in one class already. Unlike documents
+    that crowd one bucket cost in step with the square of their number; rows
+    sent are that square over BLOCK, and a task holds two blocks at a time.
 
     Null texts count as empty, and all texts without a word are one class;
     texts of fewer than five words are one shingle. Repeated rows are in one
@@ -216,11 +279,12 @@ def near_duplicate_classes(
 
     signed = materialise(base.mapInPandas(sign, "doc_id long, text_key string, bands array<long>"), "signatures")
     nodes = signed.groupBy(F.col("text_key").alias("node")).agg(F.first("bands").alias("bands"))
-    spots = nodes.select("node", F.posexplode("bands").alias("last", "band"))
-    members = crowded(spots.select(F.xxhash64("last", "band").alias("bucket"), "node", "last"))
+    spots = nodes.select("node", F.posexplode("bands").alias("number", "band"))
+    members = crowded(spots.select(F.xxhash64("number", "band").alias("bucket"), "node"))
     asked = members.select(F.col("node").alias("text_key")).distinct()
     # partly combined before the shuffle, so copies of one text do not meet in one task
     texts = base.groupBy("text_key").agg(F.first("text").alias("text")).join(asked, "text_key", "left_semi")
+    texts = texts.withColumn("bytes", F.octet_length("text"))
     texts = materialise(texts, "bucket-texts")
     labels = materialise(asked.select(F.col("text_key").alias("node"), F.col("text_key").alias("comp")), "labels")
 
@@ -239,7 +303,7 @@ def near_duplicate_classes(
 
     def compare(pairs: DataFrame) -> None:
         """Verify pairs that were not yet compared and join the classes of those that are linked."""
-        nonlocal labels, tested
+        nonlocal tested
         ordered = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         if tested is not None:
             ordered = ordered.join(tested, ["a", "b"], "left_anti")
@@ -248,8 +312,13 @@ def near_duplicate_classes(
         asked_pairs = with_both.select("a", "b", "text_a", "text_b")
         result = materialise(asked_pairs.mapInPandas(verify, "a string, b string, linked boolean"), "pairs")
         tested = result.select("a", "b") if tested is None else tested.union(result.select("a", "b"))
+        join_classes(result.where("linked"))
+
+    def join_classes(pairs: DataFrame) -> None:
+        """Join the classes of linked pairs (a, b)."""
+        nonlocal labels
         label = lambda end: labels.select(F.col("node").alias(end), F.col("comp").alias(f"{end}_comp"))
-        linked = result.where("linked").join(label("a"), "a").join(label("b"), "b")
+        linked = pairs.join(label("a"), "a").join(label("b"), "b")
         between = linked.select(F.col("a_comp").alias("a"), F.col("b_comp").alias("b")).distinct()
         between = materialise(between, "links")
         if not between.limit(1).count():
@@ -264,13 +333,10 @@ def near_duplicate_classes(
         spread = rows.join(labels, "node").groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
         return materialise(rows.join(spread.where("lo <> hi").select("bucket"), "bucket", "left_semi"), "open-buckets")
 
-    def one_of_each_class(rows: DataFrame, seed: int) -> DataFrame:
-        order = F.struct(F.xxhash64("node", "bucket", F.lit(seed)).alias("h"), "node", "last")
-        return rows.join(labels, "node").groupBy("bucket", "comp").agg(F.min(order).alias("one"))
-
     def star(rows: DataFrame, seed: int) -> None:
         """Compare one node of each class of a bucket with the leader among them."""
-        ones = one_of_each_class(rows, seed)
+        order = F.struct(F.xxhash64("node", "bucket", F.lit(seed)).alias("h"), "node")
+        ones = rows.join(labels, "node").groupBy("bucket", "comp").agg(F.min(order).alias("one"))
         leaders = ones.groupBy("bucket").agg(F.min("one").alias("lead"))
         met = ones.join(leaders, "bucket").where(F.col("one.node") != F.col("lead.node"))
         compare(met.select(F.col("one.node").alias("x"), F.col("lead.node").alias("y")))
@@ -282,25 +348,60 @@ def near_duplicate_classes(
         met = left.join(right, "bucket").where((F.col("x") < F.col("y")) & (F.col("x_comp") != F.col("y_comp")))
         compare(met.select("x", "y"))
 
-    rows = members
-    for split in range(SPLITS + 1):
-        if not rows.limit(1).count():
-            break
-        star(rows, 0)
-        still = unsettled(rows.where(F.col("size") > 2))
-        every_pair(still.where(F.col("size") <= SMALL_BUCKET))
-        large = still.where(F.col("size") > SMALL_BUCKET)
-        for seed in range(1, STARS + 1):
-            large = unsettled(large)
-            if not large.limit(1).count():
-                break
-            star(large, seed)
-        if split == SPLITS:
+    def settle(cell: pd.DataFrame) -> pd.DataFrame:
+        """Links between two blocks, or within one; a node of the block `lo` is in each pair."""
+        shingles = Shingles(*table.value)
+        vectors = [shingles.of(text) for text in cell["text"]]
+        comps = pd.factorize(cell["comp"])[0]
+        one_side = (cell["block"] == cell["lo"]).to_numpy()
+        found = links(vectors, comps, one_side, threshold) if one_side.any() and len(set(comps)) > 1 else []
+        node = cell["node"].tolist()
+        return pd.DataFrame([(node[i], node[j]) for i, j in found], columns=["a", "b"])
+
+    def blocks(rows: DataFrame) -> None:
+        """Compare all nodes of different classes of a bucket, block by block.
+
+        The largest class needs no comparison with itself: its blocks are
+        numbered last and meet those of the others only.
+        """
+        sized = rows.select("bucket", "node").join(labels, "node").join(
+            texts.select(F.col("text_key").alias("node"), "bytes"), "node"
+        )
+        sized = materialise(sized, "block-nodes")
+        parts = sized.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+        parts = materialise(parts, "block-classes")
+        whole = parts.groupBy("bucket").agg(
+            F.max(F.struct("n", "comp", "bytes")).alias("main"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes")
+        )
+        number = lambda n, size: F.ceil(F.greatest(n / BLOCK, size / BLOCK_BYTES)).cast("int")
+        rest = number(F.col("n") - F.col("main.n"), F.col("bytes") - F.col("main.bytes"))
+        plan = whole.select(
+            "bucket", F.col("main.comp").alias("largest"), rest.alias("rest"), number(F.col("main.n"), F.col("main.bytes")).alias("own")
+        )
+        placed = sized.select("bucket", "node", "comp").join(plan, "bucket")
+        deal, in_largest = F.xxhash64("node", "bucket"), F.col("comp") == F.col("largest")
+        block = F.when(in_largest, F.col("rest") + F.pmod(deal, "own")).otherwise(F.pmod(deal, "rest")).cast("int")
+        others = F.when(in_largest, F.col("rest")).otherwise(F.col("rest") + F.col("own"))
+        dealt = placed.select("bucket", "node", "comp", block.alias("block"), F.explode(F.sequence(F.lit(0), others - 1)).alias("other"))
+        dealt = dealt.select(
+            "bucket", "node", "comp", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")
+        )
+        cells = dealt.join(texts.select(F.col("text_key").alias("node"), "text"), "node")
+        found = cells.groupBy("bucket", "lo", "hi").applyInPandas(settle, "a string, b string")
+        join_classes(materialise(found.distinct(), "block-links"))
+
+    star(members, 0)
+    still = unsettled(members.where(F.col("size") > 2))
+    every_pair(still.where(F.col("size") <= SMALL_BUCKET))
+    large = still.where(F.col("size") > SMALL_BUCKET)
+    for seed in range(1, STARS + 1):
+        large = unsettled(large)
+        if not large.limit(1).count():
             break
-        ones = one_of_each_class(unsettled(large), STARS + 1).select("bucket", "one.node", "one.last")
-        finer = ones.join(nodes, "node").select("bucket", "node", "last", F.posexplode("bands").alias("next", "band"))
-        finer = finer.where(F.col("next") > F.col("last"))
-        rows = crowded(finer.select(F.xxhash64("bucket", "next", "band").alias("bucket"), "node", F.col("next").alias("last")))
+        star(large, seed)
+    large = unsettled(large)
+    if large.limit(1).count():
+        blocks(large)
 
     grouped = signed.select("doc_id", "text_key").join(labels.withColumnRenamed("node", "text_key"), "text_key", "left")
     grouped = grouped.withColumn("comp", F.coalesce("comp", "text_key"))
