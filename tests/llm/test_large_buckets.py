@@ -41,6 +41,21 @@ def test_pairs_that_share_one_crowded_band(spark, monkeypatch):
     assert got == want
 
 
+def test_link_to_one_member_of_a_class(spark, monkeypatch):
+    """Chains of versions: a class meets the next version through its last member only."""
+    monkeypatch.setattr(N, "BLOCK", 4, raising=False)
+    monkeypatch.setattr(N, "SMALL_BUCKET", 2)
+    monkeypatch.setattr(N, "STARS", 0)
+    texts = {}
+    for chain in range(12):
+        words = [f"v{chain}x{i}" for i in range(800)]
+        for step in range(25):
+            texts[chain * 100 + step] = " ".join(words[step * 20 : step * 20 + 130])
+    got, want = classes(spark, texts, 0.6)
+    assert len(set(want.values())) < 60
+    assert got == want
+
+
 @pytest.mark.parametrize("features", [3, 4096])
 def test_products_equal_pairwise_sums(monkeypatch, features):
     monkeypatch.setattr(N, "FEATURES", features)
