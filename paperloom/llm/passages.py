@@ -5,7 +5,9 @@ runs of GRAM words. Consecutive windows with the same minimiser at the same
 place form a super-k-mer, which travels as one packed string. Equal windows
 have equal minimisers, so they meet in one bucket, where sorting finds them
 exactly. A minimiser that occurs once in the corpus has no repeated window, so
-only its hash is sent, not its words.
+only its hash is sent, not its words. The windows of a minimiser with more than
+HOT_RUNS super-k-mers are dealt one by one, by a hash of their words, so a line
+in many different surroundings does not gather all of them in one bucket.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from paperloom.llm.common import by_rows
-from paperloom.session import fresh_path
+from paperloom.session import fresh_path, materialise
 
 WINDOW = 20
 GRAM = 4
@@ -27,6 +29,7 @@ PLACE_BITS = 20  # low bits of a minimiser hold its place, so that each occurren
 RUN_BITS = 8
 BATCH_TEXTS = 256
 BUCKET_RUNS = 20_000
+HOT_RUNS = 2_000  # super-k-mers of a minimiser from which on its windows are dealt by their own hash
 SEEN_BYTES = 48 << 20  # packed strings that a task remembers to settle repeats before the shuffle
 CACHED_WORDS = 300_000
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
@@ -159,10 +162,15 @@ def remove_repeated_passages(
     found_runs = keyed.select("k", "text").mapInPandas(heads, "mini long, k long, at long")
     found_runs.write.option("compression", "zstd").parquet(path)
     runs = docs.sparkSession.read.schema(found_runs.schema).parquet(path)
-    n_runs = runs.count()
-    buckets = max(1, -(-n_runs // BUCKET_RUNS))
-    repeated = runs.groupBy("mini").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1).select("mini")
-    wanted = runs.join(repeated, "mini").groupBy("k").agg(F.collect_set(F.struct("at", "mini")).alias("wanted"))
+    n_windows = F.sum(F.col("at").bitwiseAND((1 << RUN_BITS) - 1)).alias("windows")
+    counts = materialise(
+        runs.groupBy("mini").agg(F.count(F.lit(1)).alias("c"), n_windows).where(F.col("c") > 1), "minimisers"
+    )
+    hot = F.col("c") > HOT_RUNS
+    dealt_singly = counts.where(hot).agg(F.coalesce(F.sum("windows"), F.lit(0)).alias("n")).first()["n"]
+    buckets = max(1, -(-(runs.count() + dealt_singly) // BUCKET_RUNS))
+    repeated = counts.select("mini", hot.alias("hot"))
+    wanted = runs.join(repeated, "mini").groupBy("k").agg(F.collect_set(F.struct("at", "mini", "hot")).alias("wanted"))
 
     # one row for each distinct (id, text); dealt out by k once, for both joins below
     dealt = keyed.repartition("k")
@@ -171,6 +179,21 @@ def remove_repeated_passages(
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[bytes, tuple] = {}
         held = 0
+
+        def earlier(string: bytes, place: tuple) -> bool:
+            """Whether the task has sent the string from an earlier place; else this place is remembered."""
+            nonlocal held
+            before = seen.get(string)
+            if before is not None and before < place:
+                return True
+            if before is None:
+                held += len(string) + 200
+                if held > SEEN_BYTES:
+                    seen.clear()
+                    held = 0
+            seen[string] = place
+            return False
+
         for piece in by_rows(batches, BATCH_TEXTS):
             out = []
             for k, oid, tie, text, asked in zip(piece["k"], piece["oid"], piece["tie"], piece["text"], piece["wanted"]):
@@ -180,18 +203,19 @@ def remove_repeated_passages(
                     if first + n + window - 1 > len(words):
                         continue  # of another text with the same key
                     packed = b" ".join(words[first : first + n + window - 1])
-                    place = (oid, tie, first)
-                    earlier = seen.get(packed)
-                    if earlier is not None and earlier < place:
+                    if earlier(packed, (oid, tie, first)):
                         out.append((k % buckets, k, oid, tie, first, n, None))
-                        continue
-                    if earlier is None:
-                        held += len(packed) + 200
-                        if held > SEEN_BYTES:
-                            seen.clear()
-                            held = 0
-                    seen[packed] = place
-                    out.append((run["mini"] % buckets, k, oid, tie, first, n, packed))
+                    elif not run["hot"]:
+                        out.append((run["mini"] % buckets, k, oid, tie, first, n, packed))
+                    elif n == 1:
+                        out.append((xxhash.xxh3_64_intdigest(packed) % buckets, k, oid, tie, first, 1, packed))
+                    else:
+                        for at, string in enumerate(window_strings(packed, window), first):
+                            if earlier(string, (oid, tie, at)):
+                                out.append((k % buckets, k, oid, tie, at, 1, None))
+                            else:
+                                bucket = xxhash.xxh3_64_intdigest(string) % buckets
+                                out.append((bucket, k, oid, tie, at, 1, string))
             yield pd.DataFrame(out, columns=["bucket", "k", "oid", "tie", "first", "n", "words"])
 
     # with all columns, so that the exchange of texts is the same as in the last join and is made once
