@@ -12,12 +12,15 @@ from paperloom.llm.fingerprints import imatch_neighbours
 from paperloom.llm.kd_search import top_inner_products
 from paperloom.llm.language import identify_languages, train_languages
 from paperloom.llm.near_duplicates import near_duplicate_classes
+from paperloom.llm.near_vectors import near_vectors
 from paperloom.llm.packing import pack_sequences
 from paperloom.llm.passages import remove_repeated_passages
+from paperloom.llm.resampling import resample
 from paperloom.llm.sharding import histogram_shards
 from paperloom.llm.tiktokens import encode_and_decode
 from paperloom.llm.token_files import token_file_round_trip
 from paperloom.llm.toxicity import score_toxicity, train_toxicity
+from paperloom.llm.whitening import whiten
 
 SHARDS = 24
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -120,6 +123,22 @@ def op10_tiktoken(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_radix_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of all documents towards the benchmark texts, and the ranks of the tenth drawn by them."""
+    drawn = resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_polynomial_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 32 largest whitened components of every embedding."""
+    return whiten(read(spark, sf_dir, "embeddings"))
+
+
+def op13_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of every embedding at a cosine of 0.9 or more, and the components they form."""
+    return near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_imatch": op1_imatch,
     "op2_noisy_or": op2_noisy_or,
@@ -131,6 +150,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hyperdimensional": op8_hyperdimensional,
     "op9_first_fit_decreasing": op9_first_fit_decreasing,
     "op10_tiktoken": op10_tiktoken,
+    "op11_radix_resampling": op11_radix_resampling,
+    "op12_polynomial_whitening": op12_polynomial_whitening,
+    "op13_flat_graph": op13_flat_graph,
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_kd_trees": """
@@ -168,4 +190,69 @@ ORACLE_SQL: dict[str, str] = {
         SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
                CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
         FROM w LEFT JOIN kept USING (doc_id)""",
+    "op11_radix_resampling": r"""
+        WITH bytes AS (
+            SELECT list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, 3988292384 * (c & 1))) AS c, i
+            FROM (SELECT unnest(range(256)) AS i)
+        ), tab AS (
+            SELECT list(c ORDER BY i) AS t FROM bytes
+        ), words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+        ), wanted AS (
+            SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark
+        ), each AS (
+            SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS w FROM words) GROUP BY ALL
+        ), vocab AS (
+            SELECT w, hex(encode(w)) AS h FROM (SELECT DISTINCT w FROM each UNION SELECT DISTINCT w FROM wanted)
+        ), hashed AS (
+            SELECT w, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, len(h) + 1, 2),
+                          lambda i: CAST('0x' || h[i : i + 1] AS BIGINT))),
+                          lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+            FROM vocab, tab
+        ), s AS (
+            SELECT bucket, CAST(sum(n) AS BIGINT) AS s FROM each JOIN hashed USING (w) GROUP BY bucket
+        ), t AS (
+            SELECT bucket, count(*) AS t FROM wanted JOIN hashed USING (w) GROUP BY bucket
+        ), gains AS (
+            SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT coalesce(sum(s), 0) FROM s) + 10000.0::DOUBLE)
+                   / ((coalesce(s, 0) + 1.0::DOUBLE) * ((SELECT coalesce(sum(t), 0) FROM t) + 10000.0::DOUBLE)))) AS BIGINT) AS gain
+            FROM s FULL JOIN t USING (bucket)
+        ), weights AS (
+            SELECT doc_id, CAST(sum(n * gain) AS BIGINT) AS weight
+            FROM each JOIN hashed USING (w) JOIN gains USING (bucket) GROUP BY doc_id
+        ), scored AS (
+            SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || left(sha256('2024:' || doc_id), 8) AS BIGINT)
+                   + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+            FROM words LEFT JOIN weights USING (doc_id)
+        ), ranked AS (
+            SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank,
+                   (10 * count(*) OVER ()) // 100 AS drawn
+            FROM scored WHERE n_features >= 20
+        )
+        SELECT doc_id, n_features, weight, score, CAST(CASE WHEN rank <= drawn THEN rank END AS BIGINT) AS rank
+        FROM scored LEFT JOIN ranked USING (doc_id)""",
+    "op13_flat_graph": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                  AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), unit AS (
+            SELECT vec_id, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS u FROM v
+        ), links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM unit AS a JOIN unit AS b
+            ON a.vec_id <> b.vec_id AND list_dot_product(a.u, b.u) >= 0.9
+        ), reach AS (
+            SELECT vec_id AS a, vec_id AS b FROM embeddings
+            UNION
+            SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+        ), least AS (
+            SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+        ), degree AS (
+            SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+        )
+        SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+        FROM embeddings JOIN least USING (vec_id) LEFT JOIN degree USING (vec_id)""",
 }
