@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_local_folder: str | None = None  # of local sessions without that setting
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -37,9 +38,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="paperloom-")
-    spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder
+    global _local_folder
+    if _local_folder is None:
+        _local_folder = tempfile.mkdtemp(prefix="paperloom-")
+    return _local_folder
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
