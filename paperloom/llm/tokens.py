@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 
@@ -64,8 +65,10 @@ class ByteLevelEncoder:
     The split pattern of such files never matches across a change from another
     character to white space. A text may therefore be cut before each space
     that does not follow white space, and equal chunks have equal ids wherever
-    they are; the library then encodes each chunk once. `width` is `<u2` for
-    vocabularies of up to 65,536 ids.
+    they are; the library then encodes each chunk once. The strings of added
+    tokens are found before anything is split, as the library does, and what
+    lies between them is a text of its own. `width` is `<u2` for vocabularies
+    of up to 65,536 ids.
     """
 
     def __init__(self, path: str):
@@ -73,20 +76,39 @@ class ByteLevelEncoder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.width = "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        added = tokenizer.get_added_tokens_decoder()
+        self.width = "<u2" if max(tokenizer.get_vocab_size(), *(i + 1 for i in added), 0) <= 1 << 16 else "<u4"
         self.first = ChunkIds(tokenizer, "", self.width)
         self.spaced = ChunkIds(tokenizer, " ", self.width, self.first)
+        self.whole = tokenizer.encode
+        self.added = {t.content: np.array([i], self.width).tobytes() for i, t in added.items()}
+        # tokens that take in the space or depend on the word around them are left to the library
+        self.plain = not any(t.lstrip or t.rstrip or t.single_word or t.normalized and not t.special for t in added.values())
+        names = sorted(self.added, key=len, reverse=True)
+        self.marks = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
 
     def encode(self, text: str) -> np.ndarray:
+        if self.marks is None or not self.marks.search(text):
+            return np.frombuffer(self._plain(text), self.width)
+        if not self.plain:
+            return np.array(self.whole(text, add_special_tokens=False).ids, self.width)
+        parts = self.marks.split(text)
+        return np.frombuffer(b"".join(self.added[p] if i % 2 else self._plain(p) for i, p in enumerate(parts)), self.width)
+
+    def _plain(self, text: str) -> bytes:
         if not text:
-            return np.zeros(0, self.width)
+            return b""
         if SPACE_AFTER_SPACE.search(text):
-            raw = b"".join(map(self.first.__getitem__, BEFORE_SPACE.split(text)))
-        else:  # each line end is matched alone, each space with the word behind it
-            raw = self.first["\n"].join(map(self._line, text.split("\n")))
-        return np.frombuffer(raw, self.width)
+            return b"".join(map(self.first.__getitem__, BEFORE_SPACE.split(text)))
+        # each line end is matched alone, each space with the word behind it
+        return self.first["\n"].join(map(self._line, text.split("\n")))
 
     def _line(self, line: str) -> bytes:
         head, *rest = line.split(" ")
         return (self.first[head] if head else b"") + b"".join(map(self.spaced.__getitem__, rest))
+
+
+@lru_cache(maxsize=1)
+def worker_encoder(path: str) -> ByteLevelEncoder:
+    """The encoder of a Python worker: the next task that it runs finds the chunks of earlier ones."""
+    return ByteLevelEncoder(path)

@@ -23,9 +23,7 @@ PIECES = st.sampled_from(
 
 @pytest.fixture(scope="module")
 def library():
-    tokenizer = Tokenizer.from_file(BPE)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(BPE)
 
 
 @pytest.fixture(scope="module")
@@ -49,6 +47,12 @@ def test_safe_parts_give_the_ids_of_the_whole_text(text, size):
     assert [i for p in parts for i in encoding.encode_ordinary(p)] == encoding.encode_ordinary(text)
 
 
+def test_strings_of_added_tokens_are_their_ids(library, chunked):
+    assert chunked.encode("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+    for text in ("<|endoftext|>", "<|endoftext|><|endoftext|>  x", "\n<|endoftext|>\n", "<|endoftext|", "a<|endoftext|>a"):
+        assert chunked.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_long_texts_are_cut():
     encoding = rank_encoding(RANKS, public_tokenizers.PATTERN)
     text = "some words and  more\n" * 9000
