@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from paperloom.functions.text import adjacent_pairs, vector_tokens
@@ -49,3 +51,21 @@ def term_presence(docs: DataFrame, feature: str, id_col: str = "doc_id", text_co
     """Binary weight: one row per (id, term)."""
     spread = by_document(docs, id_col, text_col)
     return terms(spread, feature, id_col, text_col).distinct().withColumn("weight", F.lit(1))
+
+
+def feature_counts(docs: DataFrame, features: Sequence[str], buckets: int) -> DataFrame:
+    """Term frequencies of several features: (doc_id, feature, term, tf) from (doc_id, text).
+
+    A text is moved and tokenised once: each token gives its unigram and, with
+    its follower, its pair. Documents are spread into `buckets` parts by id,
+    and counted there.
+    """
+    for feature in features:
+        check_feature(feature)
+    spread = docs.select("doc_id", "text").repartition(buckets, "doc_id")
+    pairs = spread.select("doc_id", vector_tokens(F.col("text")).alias("tokens")).select("doc_id", adjacent_pairs("tokens"))
+    made = {"unigram": F.col("first"), "bigram": F.concat(F.col("first"), F.lit(" "), F.col("second"))}
+    offered = [part for f in features for part in (F.lit(f), made[f])]
+    occurrences = pairs.select("doc_id", F.stack(F.lit(len(features)), *offered).alias("feature", "term"))
+    named = occurrences.where(F.col("term").isNotNull())  # the last token has no follower
+    return named.groupBy("doc_id", "feature", "term").agg(F.count(F.lit(1)).alias("tf"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from paperloom.operators.exact import exact_sum
 from paperloom.operators.ordering import numbered
 from paperloom.operators.skew import lookup_join
 
@@ -65,16 +66,16 @@ def with_norms(counts_idf: DataFrame, buckets: int, weightings=WEIGHTINGS) -> Da
     doc = W.partitionBy("doc_id")
 
     def norm(weighting):
-        return F.sqrt(F.sum(raw_weight(weighting) * raw_weight(weighting)).over(doc)).alias(f"norm_{weighting}")
+        return F.sqrt(exact_sum(raw_weight(weighting) * raw_weight(weighting), doc)).alias(f"norm_{weighting}")
 
     spread = counts_idf.repartition(buckets, "doc_id")
     return spread.select("doc_id", "term", "tf", "idf", *[norm(w) for w in weightings])
 
 
-def document_norms(counts_idf: DataFrame) -> DataFrame:
+def document_norms(counts_idf: DataFrame, by=("doc_id",)) -> DataFrame:
     """Row length per document under each weighting; partial sums are combined before the shuffle."""
-    norms = [F.sqrt(F.sum(raw_weight(w) * raw_weight(w))).alias(f"norm_{w}") for w in WEIGHTINGS]
-    return counts_idf.groupBy("doc_id").agg(*norms)
+    norms = [F.sqrt(exact_sum(raw_weight(w) * raw_weight(w))).alias(f"norm_{w}") for w in WEIGHTINGS]
+    return counts_idf.groupBy(*by).agg(*norms)
 
 
 def vocabulary(counts: DataFrame) -> DataFrame:

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paperloom.functions.text import combined_text
 from paperloom.functions.wordlists import stop_words
-from paperloom.operators.grams import FEATURES, term_counts
+from paperloom.operators.grams import FEATURES, feature_counts, term_counts
 from paperloom.operators.normalize import categories, normalize_documents
-from paperloom.operators.weights import WEIGHTINGS, document_count, term_table, with_idf, with_norms
+from paperloom.operators.skew import lookup_join
+from paperloom.operators.weights import (
+    WEIGHTINGS, document_count, document_norms, smooth_idf, term_table, with_idf, with_norms,
+)
 from paperloom.plans.build_corpus import normalized_corpus
-from paperloom.session import materialise
-from paperloom.sources import index_store
+from paperloom.session import materialise, scratch
+from paperloom.sources import index_store as store
 
 
 def corpus_texts(articles: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -35,21 +38,142 @@ def feature_tables(
     return with_norms(weighed, buckets, weightings), terms
 
 
-def build_index(docs: DataFrame, base: str, corpus: str, features=FEATURES, buckets: int | None = None) -> None:
-    """Write the tables of (doc_id, text) under `base`; raises when there is no document.
+def _write_segment(docs: DataFrame, base: str, corpus: str, features, buckets, term_parts) -> store.SegmentInfo:
+    """Counts of (doc_id, text) as a new segment; texts are moved and tokenised once for all features."""
+    spark = docs.sparkSession
+    size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    if not size["n"]:
+        raise ValueError(f"corpus {corpus!r} has no documents")
+    layout = store.layout_for(spark, size["bytes"] or 0, buckets, term_parts)
+    segment = store.SegmentInfo(store.new_id(), layout.buckets, layout.term_parts, size["n"])
+    with store.removed_on_failure(spark, store.segment_folder(base, corpus, segment.id)):
+        store.write_segment_docs(docs, base, corpus, segment.id)
+        store.write_segment_counts(feature_counts(docs, features, layout.buckets), base, corpus, segment.id, layout)
+    return segment
+
 
-    `buckets` is the number of postings files and so of scanning tasks; the
-    default is the session's number of shuffle partitions. Choose it so that a
-    file holds a few hundred MB.
+def _publish(spark: SparkSession, base: str, corpus: str, segments, features, lemmas: DataFrame | None) -> store.Manifest:
+    """Idf and norms over all segments, then the manifest.
+
+    Document frequencies of the segments are added up; the norms are read off
+    their counts. No text is needed and no posting is written again.
     """
-    buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if docs.isEmpty():
-        raise ValueError(f"corpus {corpus!r} has no documents")
-    index_store.write_docs(docs.select("doc_id"), base, corpus)
-    for feature in features:
-        postings, terms = feature_tables(docs, feature, buckets)
-        index_store.write_terms(terms, base, corpus, feature)
-        index_store.write_postings(postings, base, corpus, feature, buckets)
+    before = store.read_manifest(spark, base, corpus)
+    version, n_docs = store.new_id(), sum(s.n_docs for s in segments)
+    parts = max(s.term_parts for s in segments)
+    manifest = store.Manifest(
+        (before.version if before else 0) + 1, version, tuple(segments), tuple(features), parts, lemmas is not None
+    )
+    with store.removed_on_failure(spark, store.version_folder(base, corpus, version)):
+        counted = [store.segment_terms(spark, base, corpus, s) for s in segments]
+        terms = counted[0]
+        for more in counted[1:]:
+            terms = terms.unionByName(more)
+        if len(segments) > 1:
+            terms = terms.groupBy("feature", "term").agg(F.sum("df").alias("df"))
+        terms = terms.withColumn("idf", smooth_idf(F.col("df"), F.lit(n_docs)))
+        store.write_version_terms(terms, base, corpus, version, parts)
+        known = store.version_terms(spark, base, corpus, manifest).select(
+            F.struct("feature", "term").alias("key"), "df", "idf"
+        )
+        sizes = known.select("key", F.col("df").alias("n_rows"))
+        for segment in segments:
+            postings = store.segment_postings(spark, base, corpus, segment)
+            keyed = postings.select("doc_id", "feature", "tf", F.struct("feature", "term").alias("key"))
+            weighed = lookup_join(keyed, known.select("key", "idf"), "key", counts=sizes)
+            store.write_norms(document_norms(weighed, ("feature", "doc_id")), base, corpus, version, segment)
+        if lemmas is not None:
+            store.write_lemmas(lemmas, base, corpus, version)
+        store.publish(spark, base, corpus, manifest)
+    return manifest
+
+
+def build_index(
+    docs: DataFrame,
+    base: str,
+    corpus: str,
+    features=FEATURES,
+    buckets: int | None = None,
+    term_parts: int | None = None,
+    lemmas: DataFrame | None = None,
+) -> store.Manifest:
+    """Index (doc_id, text) as a new version under `base`; raises when there is no document.
+
+    The version replaces an earlier one as a whole, lemma table included, once
+    it is complete; a build that fails leaves the earlier one in place.
+    `buckets` of documents and `term_parts` follow from the size of the texts
+    unless given. `docs` is read twice, so pass a written table.
+    """
+    spark = docs.sparkSession
+    with scratch(spark, "build-index"):
+        segment = _write_segment(docs, base, corpus, features, buckets, term_parts)
+        with store.removed_on_failure(spark, store.segment_folder(base, corpus, segment.id)):
+            return _publish(spark, base, corpus, [segment], features, lemmas)
+
+
+def append_index(
+    docs: DataFrame, base: str, corpus: str, buckets: int | None = None, term_parts: int | None = None
+) -> store.Manifest:
+    """Add documents (doc_id, text) to an index as a segment of their own; searches then see all of them.
+
+    Only the new texts are tokenised; they must be normalised like the others
+    (`append_articles` does that). Raises if there is no index, or if an id is
+    already there or comes twice.
+    """
+    spark = docs.sparkSession
+    manifest = store.read_manifest(spark, base, corpus)
+    if manifest is None:
+        raise ValueError(f"corpus {corpus!r} has no index to add to")
+    twice = docs.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    for segment in manifest.segments:
+        there = store.segment_docs(spark, base, corpus, segment)
+        twice = twice.unionByName(docs.select("doc_id").join(there, "doc_id", "left_semi"))
+    clash = twice.first()
+    if clash is not None:
+        raise ValueError(f"document {clash['doc_id']} would be in corpus {corpus!r} twice")
+    with scratch(spark, "append-index"):
+        new = _write_segment(docs, base, corpus, manifest.features, buckets, term_parts)
+        with store.removed_on_failure(spark, store.segment_folder(base, corpus, new.id)):
+            lemmas = store.load_lemmas(spark, base, corpus, manifest)
+            return _publish(spark, base, corpus, [*manifest.segments, new], manifest.features, lemmas)
+
+
+def compact_index(
+    spark: SparkSession, base: str, corpus: str, buckets: int | None = None, term_parts: int | None = None
+) -> store.Manifest:
+    """Merge all segments into one; counts are dealt anew, no text is needed.
+
+    An index of one segment is left as it is.
+    """
+    manifest = store.read_manifest(spark, base, corpus)
+    if manifest is None:
+        raise ValueError(f"corpus {corpus!r} has no index to compact")
+    if len(manifest.segments) == 1:
+        return manifest
+    layout = store.Layout(
+        buckets or max(s.buckets for s in manifest.segments), term_parts or max(s.term_parts for s in manifest.segments)
+    )
+    merged = store.SegmentInfo(store.new_id(), layout.buckets, layout.term_parts, manifest.n_docs)
+    rows = [store.segment_postings(spark, base, corpus, s) for s in manifest.segments]
+    docs = [store.segment_docs(spark, base, corpus, s) for s in manifest.segments]
+    counts, whole = rows[0], docs[0]
+    for more, others in zip(rows[1:], docs[1:]):
+        counts, whole = counts.unionByName(more), whole.unionByName(others)
+    with scratch(spark, "compact-index"), store.removed_on_failure(spark, store.segment_folder(base, corpus, merged.id)):
+        store.write_segment_docs(whole, base, corpus, merged.id)
+        dealt = counts.select("doc_id", "feature", "term", "tf").repartition(layout.buckets, "doc_id")
+        store.write_segment_counts(dealt, base, corpus, merged.id, layout)
+        lemmas = store.load_lemmas(spark, base, corpus, manifest)
+        return _publish(spark, base, corpus, [merged], manifest.features, lemmas)
+
+
+def _article_texts(articles: DataFrame, id_col: str, compat: bool, tokenizer, lemmas: DataFrame | None) -> DataFrame:
+    """(doc_id, text): normalised title and abstract of an article table."""
+    if lemmas is None:
+        return corpus_texts(normalized_corpus(articles, compat, tokenizer), id_col)
+    stop = stop_words(categories("corpus", compat))
+    found = normalize_documents(corpus_texts(articles, id_col), lemmas, stop)
+    return found.select("doc_id", F.col("normalized").alias("text"))
 
 
 def index_articles(
@@ -60,18 +184,23 @@ def index_articles(
     compat: bool = False,
     tokenizer=None,
     lemmas: DataFrame | None = None,
-) -> None:
+) -> store.Manifest:
     """From an article table to its stored index: normalise, combine title and abstract, weigh.
 
-    The normalised texts are written once; they are read for both features. A
-    lemma table (token, lemma) is stored with the index, and searches apply it
-    to their queries.
+    The normalised texts are written once. A lemma table (token, lemma) is
+    stored with the version, and searches apply it to their queries.
     """
-    if lemmas is None:
-        texts = corpus_texts(normalized_corpus(articles, compat, tokenizer), id_col)
-    else:
-        stop = stop_words(categories("corpus", compat))
-        found = normalize_documents(corpus_texts(articles, id_col), lemmas, stop)
-        texts = found.select("doc_id", F.col("normalized").alias("text"))
-        index_store.write_lemmas(lemmas, base, corpus)
-    build_index(materialise(texts, "texts"), base, corpus)
+    with scratch(articles.sparkSession, "index-articles"):
+        texts = materialise(_article_texts(articles, id_col, compat, tokenizer, lemmas), "texts")
+        return build_index(texts, base, corpus, lemmas=lemmas)
+
+
+def append_articles(
+    articles: DataFrame, base: str, corpus: str, id_col: str = "doc_id", compat: bool = False, tokenizer=None
+) -> store.Manifest:
+    """Add articles to a stored index, with the lemma table that it was built with."""
+    spark = articles.sparkSession
+    with scratch(spark, "append-articles"):
+        lemmas = store.load_lemmas(spark, base, corpus)
+        texts = materialise(_article_texts(articles, id_col, compat, tokenizer, lemmas), "texts")
+        return append_index(texts, base, corpus)

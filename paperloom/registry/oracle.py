@@ -360,12 +360,17 @@ SELECT doc_id, round(sqrt(sum(CAST(tf AS DOUBLE) * tf)), 6) AS norm_freq, round(
 FROM tf JOIN dfs USING (term) GROUP BY doc_id""",
     "query_vectors": f"""WITH {_search_ctes('unigram', 'tfidf')}
 SELECT query_id, term, df, round(w / norm, 6) AS weight FROM qw JOIN qn USING (query_id)""",
-    "cosine_scores": f"WITH {_search_ctes('unigram', 'tfidf')} SELECT query_id, doc_id, round(score, 6) AS score FROM scores",
+    "cosine_scores": f"""WITH {_search_ctes('unigram', 'tfidf')},
+given AS (SELECT doc_id % (SELECT count(*) FROM benchmark) AS query_id, doc_id FROM documents)
+SELECT query_id, doc_id, round(coalesce(score, 0), 6) AS score FROM given LEFT JOIN scores USING (query_id, doc_id)""",
     "topk_padded": _padded_sql("bigram", "freq"),
     "topk_ranked": _top_sql("unigram", "binary", "printf('%.6f', score) AS score_text"),
     "load_index": f"WITH {_TOKENS}, {_BIGRAM_TF} SELECT doc_id, term, tf, CAST(tf AS DOUBLE) AS weight FROM tf",
     "search_variants": _VARIANTS,
+    "search_segments": _VARIANTS,
+    "search_compacted": _VARIANTS,
     "search_files": _padded_sql("unigram", "tfidf", _ARTICLE_TOKENS, _ASKED_FILES),
+    "search_reindexed": _padded_sql("unigram", "tfidf", _ARTICLE_TOKENS, _ASKED_FILES),
     "search_lemmas": _padded_sql("unigram", "tfidf", _LEMMA_TOKENS, _LEMMA_ASKED),
     "normalize_docs": _NORMAL_DOCS,
     "normalize_compat": f"WITH {_ARTICLES} SELECT doc_id, {_NORMAL_TITLE(_KEEP_AND)}, {_NORMAL_ABSTRACT(_KEEP_AND)} FROM articles",

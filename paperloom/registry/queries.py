@@ -71,13 +71,17 @@ def query_vectors(spark, sf_dir):
     docs = inputs.documents(spark, sf_dir)
     terms = weights.term_table(grams.term_counts(docs, "unigram"), weights.document_count(docs))
     vectors = similarity.query_vectors(inputs.queries(spark, sf_dir), terms, "unigram", "tfidf")
-    return _rounded(vectors, "weight")
+    return _rounded(vectors.drop("idf"), "weight")
 
 
 def cosine_scores(spark, sf_dir):
-    postings, terms = build_index.feature_tables(inputs.documents(spark, sf_dir), "unigram")
-    vectors = similarity.query_vectors(inputs.queries(spark, sf_dir), terms, "unigram", "tfidf")
-    return _rounded(similarity.cosine_scores(vectors, postings, "tfidf", terms), "score")
+    """Scores of given pairs: every document with one of the queries, dealt in turn."""
+    docs, queries = inputs.documents(spark, sf_dir), inputs.queries(spark, sf_dir)
+    postings, terms = build_index.feature_tables(docs, "unigram", weightings=("tfidf",))
+    vectors = similarity.query_vectors(queries, terms, "unigram", "tfidf")
+    n_queries = queries.agg(F.count(F.lit(1))).scalar()
+    pairs = docs.select(F.pmod(F.col("doc_id"), n_queries).alias("query_id"), "doc_id")
+    return _rounded(similarity.pair_scores(pairs, vectors, postings, "tfidf"), "score")
 
 
 def _search(spark, sf_dir, feature, weighting, padded=False):
@@ -108,6 +112,10 @@ def load_index(spark, sf_dir):
 def search_variants(spark, sf_dir):
     base = fresh_path(spark, "index")
     build_index.build_index(inputs.documents(spark, sf_dir), base, CORPUS)
+    return _variants(spark, sf_dir, base)
+
+
+def _variants(spark, sf_dir, base):
     queries = inputs.queries(spark, sf_dir)
     found = [
         search.search(spark, queries, base, CORPUS, feature, weighting).select(
@@ -119,6 +127,26 @@ def search_variants(spark, sf_dir):
     return records.union_sections(found)
 
 
+def search_segments(spark, sf_dir):
+    """As `search_variants`, from an index of one half of the documents to which the other half was added."""
+    base = fresh_path(spark, "index")
+    docs = inputs.documents(spark, sf_dir)
+    build_index.build_index(docs.where("doc_id % 2 = 0"), base, CORPUS)
+    build_index.append_index(docs.where("doc_id % 2 <> 0"), base, CORPUS, term_parts=4)
+    return _variants(spark, sf_dir, base)
+
+
+def search_compacted(spark, sf_dir):
+    """As `search_variants`, from an index that grew by a third at a time and was then made one segment again."""
+    base = fresh_path(spark, "index")
+    docs = inputs.documents(spark, sf_dir)
+    build_index.build_index(docs.where("doc_id % 3 = 0"), base, CORPUS)
+    for rest in (1, 2):
+        build_index.append_index(docs.where(F.col("doc_id") % 3 == rest), base, CORPUS)
+    build_index.compact_index(spark, base, CORPUS)
+    return _variants(spark, sf_dir, base)
+
+
 # ---- normalisation
 
 
@@ -235,6 +263,17 @@ def search_lemmas(spark, sf_dir):
     return search.search_files(spark, inputs.query_files(spark, sf_dir), base, CORPUS, key="doc_id")
 
 
+def search_reindexed(spark, sf_dir):
+    """As `search_files`, after the corpus was first indexed with lemmas: the new version has nothing of the old one."""
+    base = fresh_path(spark, "index")
+    articles = inputs.articles(spark, sf_dir)
+    tokens = normalize.kept_tokens(build_index.corpus_texts(articles)).where(F.col("token").isNotNull())
+    lemmas = normalize.suffix_lemmas(materialise(tokens.select("token").distinct(), "vocabulary"))
+    build_index.index_articles(articles, base, CORPUS, lemmas=materialise(lemmas, "lemmas"))
+    build_index.index_articles(articles, base, CORPUS)
+    return search.search_files(spark, inputs.query_files(spark, sf_dir), base, CORPUS, key="doc_id")
+
+
 def parse_pubdate(spark, sf_dir):
     raw = inputs.table(spark, sf_dir, "documents").select("doc_id", inputs.citation_dates().alias("raw"))
     return raw.select(
@@ -357,7 +396,10 @@ QUERIES = {
     "topk_ranked": topk_ranked,
     "load_index": load_index,
     "search_variants": search_variants,
+    "search_segments": search_segments,
+    "search_compacted": search_compacted,
     "search_files": search_files,
+    "search_reindexed": search_reindexed,
     "search_lemmas": search_lemmas,
     "normalize_docs": normalize_docs,
     "normalize_compat": normalize_compat,

@@ -5,11 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _local_folder: str | None = None  # of local sessions without that setting
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -45,8 +49,30 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """An unused path in the shared folder."""
-    return os.path.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+    """An unused path in the shared folder, inside the folder of the run if there is one."""
+    return os.path.join(_run_folder.get() or shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whatever store its path names; one that is not there is no error."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str = "run") -> Iterator[str]:
+    """A folder for the intermediate tables of a job that writes its result itself; removed at the end.
+
+    Results that are still to be computed from intermediate tables must not
+    leave the block.
+    """
+    folder = os.path.join(_run_folder.get() or shared_folder(spark), f"{label}-{uuid.uuid4().hex}")
+    token = _run_folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _run_folder.reset(token)
+        remove_path(spark, folder)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

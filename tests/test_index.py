@@ -1,0 +1,329 @@
+"""Versions, segments, term parts, exact sums and batch plans of the stored index."""
+
+import json
+import os
+import random
+import subprocess
+import sys
+from collections import Counter
+
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from paperloom.operators import exact, similarity
+from paperloom.plans import build_index as plans
+from paperloom.plans.build_index import append_articles, append_index, build_index, compact_index, index_articles
+from paperloom.plans.search import search, search_files
+from paperloom.sources import index_store as store
+from test_search import DOCS, QUERIES, as_lists, assert_same, brute_force, frames
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def folders(path):
+    return sorted(os.listdir(path)) if os.path.isdir(path) else []
+
+
+# ---- segments
+
+
+def test_halves_equal_the_whole(spark, tmp_path):
+    docs, queries = frames(spark)
+    base = str(tmp_path)
+    build_index(docs, base, "whole")
+    build_index(docs.where("doc_id % 2 = 0"), base, "halves", buckets=3)
+    append_index(docs.where("doc_id % 2 = 1"), base, "halves", buckets=2, term_parts=5)
+    for feature, weighting in (("unigram", "tfidf"), ("bigram", "binary")):
+        whole = as_lists(search(spark, queries, base, "whole", feature, weighting))
+        assert as_lists(search(spark, queries, base, "halves", feature, weighting)) == whole
+        assert_same(whole, brute_force(DOCS, QUERIES, feature, weighting))
+    weights = lambda corpus: sorted(map(tuple, store.load_index(spark, base, corpus, "unigram", "tfidf").collect()))
+    assert weights("halves") == weights("whole")
+    before = store.read_manifest(spark, base, "halves")
+    after = compact_index(spark, base, "halves")
+    assert len(before.segments) == 2 and len(after.segments) == 1 and after.n_docs == before.n_docs == len(DOCS)
+    assert weights("halves") == weights("whole")
+    assert compact_index(spark, base, "halves") == after
+
+
+def test_what_cannot_be_added(spark, tmp_path):
+    docs, _ = frames(spark)
+    base = str(tmp_path)
+    with pytest.raises(ValueError, match="no index to add to"):
+        append_index(docs, base, "arxiv")
+    build_index(docs, base, "arxiv", ["unigram"])
+    with pytest.raises(ValueError, match="document 3 would be in"):
+        append_index(docs.where("doc_id = 3"), base, "arxiv")
+    new = spark.createDataFrame([(900, "a text"), (900, "b text")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="document 900 would be in"):
+        append_index(new, base, "arxiv")
+    with pytest.raises(ValueError, match="no documents"):
+        append_index(new.limit(0), base, "arxiv")
+    assert store.read_manifest(spark, base, "arxiv").version == 1
+    assert len(folders(store.segment_folder(base, "arxiv", ""))) == 1
+
+
+def test_added_articles_use_the_lemmas_of_the_index(spark, tmp_path):
+    schema = "doc_id long, Title string, Abstract string"
+    lemmas = spark.createDataFrame([("networks", "network"), ("studies", "study")], "token string, lemma string")
+    index_articles(spark.createDataFrame([(0, "Neural networks", "Other")], schema), str(tmp_path), "c", lemmas=lemmas)
+    append_articles(spark.createDataFrame([(1, "Network studies", None)], schema), str(tmp_path), "c")
+    files = spark.createDataFrame([("q.bib", "@misc{a, title={study of a network}}")], "path string, text string")
+    found = as_lists(search_files(spark, files, str(tmp_path), "c"))["q.bib"]
+    assert found[0] == (1, 1.0) and found[1][0] == 0 and found[1][1] > 0
+
+
+# ---- versions
+
+
+def test_reindexing_leaves_nothing_of_the_old_version(spark, tmp_path):
+    schema = "doc_id long, Title string, Abstract string"
+    articles = spark.createDataFrame(
+        [(1, "Studies of networks", "graphs"), (2, "Study the network graph", "graph"), (3, "Else", "nothing")], schema
+    )
+    lemmas = spark.createDataFrame([("studies", "study"), ("networks", "network"), ("graphs", "graph")], "token string, lemma string")
+    files = spark.createDataFrame([("q.bib", "@misc{a, title={studies networks graphs}}")], "path string, text string")
+    fresh, again = str(tmp_path / "fresh"), str(tmp_path / "again")
+    index_articles(articles, fresh, "c")
+    index_articles(articles, again, "c", lemmas=lemmas)
+    lemmatised = as_lists(search_files(spark, files, again, "c"))
+    index_articles(articles, again, "c")
+    assert as_lists(search_files(spark, files, again, "c")) == as_lists(search_files(spark, files, fresh, "c"))
+    assert lemmatised["q.bib"][1][1] > 0 and store.load_lemmas(spark, again, "c") is None
+    index_articles(articles, again, "c", lemmas=lemmas)
+    assert as_lists(search_files(spark, files, again, "c")) == lemmatised
+
+
+def test_a_reader_goes_on_during_a_rewrite(spark, tmp_path):
+    docs, queries = frames(spark)
+    base = str(tmp_path)
+    build_index(docs, base, "arxiv", ["unigram"])
+    started = search(spark, queries, base, "arxiv")  # planned, not yet run
+    old = store.read_manifest(spark, base, "arxiv")
+    build_index(docs.where("doc_id < 5"), base, "arxiv", ["unigram"])
+    assert_same(as_lists(started), brute_force(DOCS, QUERIES, "unigram", "tfidf"))
+    assert_same(as_lists(search(spark, queries, base, "arxiv", manifest=old)), brute_force(DOCS, QUERIES, "unigram", "tfidf"))
+    assert_same(as_lists(search(spark, queries, base, "arxiv")), brute_force(DOCS[:5], QUERIES, "unigram", "tfidf"))
+
+
+@pytest.mark.parametrize("broken", ["write_segment_counts", "write_norms", "publish"])
+def test_a_failed_rewrite_leaves_the_old_version(spark, tmp_path, monkeypatch, broken):
+    docs, queries = frames(spark)
+    base = str(tmp_path)
+    build_index(docs, base, "arxiv", ["unigram"])
+    kept = folders(store.segment_folder(base, "arxiv", "")), folders(store.version_folder(base, "arxiv", ""))
+
+    def fail(*_):
+        raise OSError("the store is gone")
+
+    monkeypatch.setattr(store, broken, fail)
+    with pytest.raises(OSError, match="the store is gone"):
+        build_index(docs.where("doc_id < 5"), base, "arxiv", ["unigram"])
+    monkeypatch.undo()
+    assert_same(as_lists(search(spark, queries, base, "arxiv")), brute_force(DOCS, QUERIES, "unigram", "tfidf"))
+    assert kept == (folders(store.segment_folder(base, "arxiv", "")), folders(store.version_folder(base, "arxiv", "")))
+
+
+def test_the_second_of_two_writers_is_told(spark, tmp_path):
+    docs, queries = frames(spark)
+    base = str(tmp_path)
+    first = build_index(docs, base, "arxiv", ["unigram"])
+    late = store.Manifest(first.version, "late", first.segments, first.features, 1, True)
+    with pytest.raises(RuntimeError, match="another writer"):
+        store.publish(spark, base, "arxiv", late)
+    assert store.read_manifest(spark, base, "arxiv") == first
+
+
+def test_old_versions_are_dropped(spark, tmp_path):
+    docs, queries = frames(spark)
+    base = str(tmp_path)
+    build_index(docs.where("doc_id < 9"), base, "arxiv", ["unigram"])
+    for low, high in ((9, 20), (20, 99)):
+        append_index(docs.where(f"doc_id >= {low} and doc_id < {high}"), base, "arxiv")
+    wanted = as_lists(search(spark, queries, base, "arxiv"))
+    last = compact_index(spark, base, "arxiv")
+    assert store.drop_old_versions(spark, base, "arxiv", keep=9) == []
+    gone = store.drop_old_versions(spark, base, "arxiv", keep=1)
+    assert len(gone) == 6  # three versions and their three segments
+    assert folders(store.segment_folder(base, "arxiv", "")) == [s.id for s in last.segments]
+    assert folders(store.version_folder(base, "arxiv", "")) == [last.id]
+    assert as_lists(search(spark, queries, base, "arxiv")) == wanted
+    with pytest.raises(ValueError):
+        store.drop_old_versions(spark, base, "arxiv", keep=0)
+
+
+def test_intermediate_tables_are_removed(spark, tmp_path):
+    from paperloom.session import shared_folder
+
+    docs, _ = frames(spark)
+    before = set(folders(shared_folder(spark)))
+    build_index(docs, str(tmp_path), "arxiv")
+    assert set(folders(shared_folder(spark))) == before
+
+
+# ---- term parts and buckets
+
+
+def test_a_rare_term_opens_one_part(spark, tmp_path):
+    docs, _ = frames(spark)
+    base = str(tmp_path)
+    build_index(docs, base, "arxiv", ["unigram"], buckets=2, term_parts=8)
+    seen = Counter(t for _, text in DOCS for t in set((text or "").split()))
+    rare = min(seen, key=lambda t: (seen[t], t))
+    asked = spark.createDataFrame([(1, rare)], "query_id long, text string")
+    index = store.load_tables(spark, base, "arxiv", "unigram")
+    vectors = similarity.query_vectors(asked, index.terms, "unigram", "tfidf", term_part=store.term_part(F.col("term"), 8))
+    found = similarity.best_matches(
+        vectors, index.segments[0].postings, "tfidf", index.terms,
+        norms=index.segments[0].norms, term_part=store.term_part(F.col("term"), 8),
+    )
+    assert "dynamicpruning" in plan_of(found)
+    rows = as_lists(found)[1]
+    assert rows == brute_force(DOCS, [(1, rare)], "unigram", "tfidf")[1][: len(rows)]
+    scans = [s for s in scan_metrics(found) if s["partitions"] is not None]
+    assert scans and all(s["partitions"] == 1 for s in scans)
+
+
+def scan_metrics(df):
+    """Partitions and files that each scan with pruning by term part has read."""
+    import re
+
+    df.collect()
+    out, waiting = [], [df._jdf.queryExecution().executedPlan()]
+    while waiting:
+        node = waiting.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            waiting.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStageExec"):
+            waiting.append(node.plan())
+            continue
+        if name == "FileSourceScanExec" and re.search("dynamicpruning", node.toString()) and "tf#" in node.toString():
+            metrics = node.metrics()
+            read = metrics.get("numPartitions").get().value() if metrics.contains("numPartitions") else None
+            out.append({"partitions": read})
+        children = node.children()
+        waiting += [children.apply(i) for i in range(children.size())]
+    return out
+
+
+def test_searches_of_known_buckets_do_not_shuffle_postings(spark, tmp_path):
+    docs, queries = frames(spark)
+    base = str(tmp_path)
+    build_index(docs, base, "arxiv", ["unigram"], buckets=4, term_parts=2)
+    index = store.load_tables(spark, base, "arxiv", "unigram")
+    vectors = similarity.query_vectors(queries, index.terms, "unigram", "tfidf")
+    found = similarity.best_matches(
+        vectors, index.segments[0].postings, "tfidf", index.terms,
+        norms=index.segments[0].norms, term_part=store.term_part(F.col("term"), 2),
+    )
+    found.collect()
+    plan = plan_of(found)
+    final = plan[: plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    assert "hashpartitioning(doc_id" not in final and "hashpartitioning(query_id#" in final
+
+
+OTHER_SESSION = """
+import json, sys
+sys.path.insert(0, {root!r})
+from paperloom.session import local_session
+from paperloom.plans.search import search
+from paperloom.sources import index_store as store
+spark = local_session(2)
+before = {{t.name for t in spark.catalog.listTables()}}
+queries = spark.createDataFrame({queries!r}, "query_id long, text string")
+run = lambda: sorted((r.query_id, r["rank"], r.doc_id, r.score) for r in search(spark, queries, {base!r}, "arxiv").collect())
+plain = run()
+assert {{t.name for t in spark.catalog.listTables()}} == before == set()
+store.declare_tables(spark, {base!r}, "arxiv")
+assert len(spark.catalog.listTables()) == 2 and run() == plain
+print(json.dumps(plain))
+"""
+
+
+def test_another_session_reads_the_files_and_declares_nothing(spark, tmp_path):
+    docs, queries = frames(spark)
+    build_index(docs, str(tmp_path), "arxiv", ["unigram"], buckets=3, term_parts=2)
+    code = OTHER_SESSION.format(root=ROOT, queries=QUERIES, base=str(tmp_path))
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=str(tmp_path))
+    assert done.returncode == 0, done.stderr[-2000:]
+    here = sorted((r.query_id, r["rank"], r.doc_id, r.score) for r in search(spark, queries, str(tmp_path), "arxiv").collect())
+    assert json.loads(done.stdout.splitlines()[-1]) == [list(r) for r in here]
+
+
+def test_layout_follows_the_size(spark):
+    small, large = store.layout_for(spark, 10_000), store.layout_for(spark, 10 << 40)
+    assert small.term_parts == 1 and small.buckets == spark.sparkContext.defaultParallelism
+    assert large.buckets == (10 << 40) // store.BUCKET_BYTES and large.term_parts == store.MAX_TERM_PARTS
+    assert store.layout_for(spark, 1 << 40, buckets=7, term_parts=3) == store.Layout(7, 3)
+
+
+# ---- batches
+
+
+def test_a_batch_takes_a_few_scans_or_one_shuffle():
+    assert similarity.plan_batch(0) == similarity.plan_batch(64 << 20) == 1
+    assert similarity.plan_batch((64 << 20) + 1) == 4
+    assert similarity.plan_batch(10 << 30) == 0
+    assert all(similarity.plan_batch(n << 20) <= similarity.SHUFFLE_COST for n in range(0, 2000, 37))
+
+
+@pytest.mark.parametrize("limit, shuffles", [(1 << 20, False), (1, True)])
+def test_a_large_batch_shuffles_postings_once(spark, tmp_path, limit, shuffles):
+    docs, queries = frames(spark)
+    postings, terms = plans.feature_tables(docs, "unigram", weightings=("tfidf",))
+    vectors = similarity.query_vectors(queries, terms, "unigram", "tfidf")
+    found = similarity.best_matches(vectors, postings, "tfidf", terms, max_broadcast_bytes=limit)
+    assert ("slice" in plan_of(found)) == shuffles
+    assert as_lists(found) == as_lists(similarity.best_matches(vectors, postings, "tfidf", terms))
+
+
+def test_scores_of_given_pairs(spark):
+    docs, queries = frames(spark)
+    postings, terms = plans.feature_tables(docs, "unigram")
+    vectors = similarity.query_vectors(queries, terms, "unigram", "tfidf")
+    pairs = spark.createDataFrame([(0, 4), (1, 4), (1, 4), (2, 4), (5, 60), (77, 1)], "query_id long, doc_id long")
+    wanted = {(r.query_id, r.doc_id): r.score for r in similarity.cosine_scores(vectors, postings, "tfidf", terms).collect()}
+    got = {(r.query_id, r.doc_id): r.score for r in similarity.pair_scores(pairs, vectors, postings, "tfidf").collect()}
+    assert got == {p: wanted.get(p, 0.0) for p in ((0, 4), (1, 4), (2, 4), (5, 60), (77, 1))} and got[(1, 4)] == 1.0
+
+
+# ---- exact sums
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.floats(0, 1e6, allow_nan=False), min_size=1, max_size=60), st.randoms(use_true_random=False))
+def test_sums_do_not_depend_on_the_order(spark, values, rng):
+    sums = set()
+    for parts in (1, 7, 200):
+        rng.shuffle(values)
+        df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(min(parts, 20))
+        sums.add(df.agg(exact.exact_sum(F.col("x")).alias("s")).first()["s"])
+    assert len(sums) == 1
+    from math import fsum
+
+    assert sums.pop() == pytest.approx(fsum(values), rel=1e-12, abs=1e-15 * len(values))
+
+
+def test_ranks_are_equal_under_any_partitioning(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices([f"t{j}" for j in range(25)], k=40))) for i in range(80)]
+    results = []
+    for n in (1, 7, 200):
+        kept = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        try:
+            docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(n)
+            postings, terms = plans.feature_tables(docs, "unigram", weightings=("tfidf",))
+            queries = docs.select(F.col("doc_id").alias("query_id"), "text").where("doc_id < 10")
+            vectors = similarity.query_vectors(queries, terms, "unigram", "tfidf")
+            results.append(as_lists(similarity.best_matches(vectors, postings, "tfidf", terms)))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", kept)
+    assert results[0] == results[1] == results[2]
