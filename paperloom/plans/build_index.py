@@ -8,7 +8,8 @@ from paperloom.functions.text import combined_text
 from paperloom.functions.wordlists import stop_words
 from paperloom.operators.grams import FEATURES, feature_counts, term_counts
 from paperloom.operators.normalize import categories, normalize_documents
-from paperloom.operators.skew import lookup_join
+from paperloom.operators.records import union_sections
+from paperloom.operators.skew import MAX_BROADCAST_BYTES, lookup_join
 from paperloom.operators.weights import (
     WEIGHTINGS, document_count, document_norms, smooth_idf, term_table, with_idf, with_norms,
 )
@@ -65,22 +66,13 @@ def _publish(spark: SparkSession, base: str, corpus: str, segments, features, le
         (before.version if before else 0) + 1, version, tuple(segments), tuple(features), parts, lemmas is not None
     )
     with store.removed_on_failure(spark, store.version_folder(base, corpus, version)):
-        counted = [store.segment_terms(spark, base, corpus, s) for s in segments]
-        terms = counted[0]
-        for more in counted[1:]:
-            terms = terms.unionByName(more)
         if len(segments) > 1:
-            terms = terms.groupBy("feature", "term").agg(F.sum("df").alias("df"))
-        terms = terms.withColumn("idf", smooth_idf(F.col("df"), F.lit(n_docs)))
-        store.write_version_terms(terms, base, corpus, version, parts)
-        known = store.version_terms(spark, base, corpus, manifest).select(
-            F.struct("feature", "term").alias("key"), "df", "idf"
-        )
-        sizes = known.select("key", F.col("df").alias("n_rows"))
+            counted = union_sections([store.segment_terms(spark, base, corpus, s) for s in segments])
+            merged = counted.groupBy("feature", "term").agg(F.sum("df").alias("df"))
+            store.write_terms(merged, store.version_folder(base, corpus, version), parts)
+        terms = store.version_terms(spark, base, corpus, manifest)
         for segment in segments:
-            postings = store.segment_postings(spark, base, corpus, segment)
-            keyed = postings.select("doc_id", "feature", "tf", F.struct("feature", "term").alias("key"))
-            weighed = lookup_join(keyed, known.select("key", "idf"), "key", counts=sizes)
+            weighed = _with_idf(store.segment_postings(spark, base, corpus, segment), terms, n_docs)
             store.write_norms(document_norms(weighed, ("feature", "doc_id")), base, corpus, version, segment)
         if lemmas is not None:
             store.write_lemmas(lemmas, base, corpus, version)
@@ -88,6 +80,24 @@ def _publish(spark: SparkSession, base: str, corpus: str, segments, features, le
     return manifest
 
 
+def _with_idf(postings: DataFrame, terms: DataFrame, n_docs: int) -> DataFrame:
+    """(doc_id, feature, tf, idf) of postings.
+
+    Most terms are in one document only. If the others are measured to be
+    small, they go to the postings, which stay with their documents, and what
+    finds no idf there is a term of one document. Otherwise frequent terms meet
+    a bounded broadcast and the rest a shuffle.
+    """
+    shared = terms.where("df > 1")
+    size = shared.agg(F.coalesce(F.sum(F.octet_length("term") + 96), F.lit(0)).alias("bytes")).first()["bytes"]
+    if size <= MAX_BROADCAST_BYTES:
+        known = postings.join(F.broadcast(shared.select("feature", "term", "idf")), ["feature", "term"], "left")
+        return known.withColumn("idf", F.coalesce("idf", smooth_idf(F.lit(1), F.lit(n_docs))))
+    known = terms.select(F.struct("feature", "term").alias("key"), "df", "idf")
+    keyed = postings.select("doc_id", "feature", "tf", F.struct("feature", "term").alias("key"))
+    return lookup_join(keyed, known.select("key", "idf"), "key", counts=known.select("key", F.col("df").alias("n_rows")))
+
+
 def build_index(
     docs: DataFrame,
     base: str,
@@ -156,9 +166,7 @@ def compact_index(
     merged = store.SegmentInfo(store.new_id(), layout.buckets, layout.term_parts, manifest.n_docs)
     rows = [store.segment_postings(spark, base, corpus, s) for s in manifest.segments]
     docs = [store.segment_docs(spark, base, corpus, s) for s in manifest.segments]
-    counts, whole = rows[0], docs[0]
-    for more, others in zip(rows[1:], docs[1:]):
-        counts, whole = counts.unionByName(more), whole.unionByName(others)
+    counts, whole = union_sections(rows), union_sections(docs)
     with scratch(spark, "compact-index"), store.removed_on_failure(spark, store.segment_folder(base, corpus, merged.id)):
         store.write_segment_docs(whole, base, corpus, merged.id)
         dealt = counts.select("doc_id", "feature", "term", "tf").repartition(layout.buckets, "doc_id")

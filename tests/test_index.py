@@ -21,6 +21,14 @@ from test_search import DOCS, QUERIES, as_lists, assert_same, brute_force, frame
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
+@pytest.fixture(autouse=True, scope="module")
+def few_partitions(spark):
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", kept)
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -264,6 +272,15 @@ def test_layout_follows_the_size(spark):
     assert store.layout_for(spark, 1 << 40, buckets=7, term_parts=3) == store.Layout(7, 3)
 
 
+def test_a_large_vocabulary_is_joined_by_shuffles(spark, tmp_path, monkeypatch):
+    docs, queries = frames(spark)
+    build_index(docs, str(tmp_path), "small", ["unigram"])
+    monkeypatch.setattr(plans, "MAX_BROADCAST_BYTES", -1)
+    build_index(docs, str(tmp_path), "large", ["unigram"])
+    found = [sorted(map(tuple, store.load_index(spark, str(tmp_path), c, "unigram", "tfidf").collect())) for c in ("small", "large")]
+    assert found[0] == found[1]
+
+
 # ---- batches
 
 
