@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paperloom.functions.links import DOI_PREFIX
-from paperloom.session import spread
+from paperloom.session import fresh_path, spread
 
 # Month and season names of citation dates.
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
@@ -136,6 +136,22 @@ def _ris() -> Column:
     return F.concat_ws("\n", *parts)
 
 
+def ris_bulk_folder(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of RIS exports of many records each; a record's ID is its document's."""
+    number = F.concat(F.lit("ID  - "), F.col("doc_id").cast("string"))
+    rows = _spread(spark, sf_dir, "documents", "doc_id").select(F.concat_ws("\n", number, _ris()).alias("value"))
+    path = fresh_path(spark, "ris-bulk")
+    rows.write.text(path)
+    return path
+
+
+def bib_bulk_folder(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of BibTeX exports of many entries each."""
+    path = fresh_path(spark, "bib-bulk")
+    bib_texts(spark, sf_dir).select("text").write.text(path)
+    return path
+
+
 def _bib() -> Column:
     def braced(text: Column) -> Column:
         return F.translate(text, "{}", "()")

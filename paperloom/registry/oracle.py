@@ -452,3 +452,10 @@ FROM articles""",
     "corpus_shape": "SELECT count(*) AS n_rows, CAST(6 AS BIGINT) AS n_columns FROM documents",
     "sample_docs": "SELECT doc_id, text FROM documents ORDER BY md5('0:' || doc_id), doc_id LIMIT 10",
 }
+
+# the same rows by another way of reading
+ORACLE_SQL |= {
+    "ris_bulk": ORACLE_SQL["ris_full"],
+    "bib_bulk": ORACLE_SQL["bib_records"],
+    "read_raw_splits": ORACLE_SQL["read_raw"],
+}

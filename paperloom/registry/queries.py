@@ -217,10 +217,27 @@ def ris_full(spark, sf_dir):
     return _titled(ris.ris_records(inputs.ris_texts(spark, sf_dir), keep=("doc_id",), mode="full"))
 
 
+def ris_bulk(spark, sf_dir):
+    """As `ris_full`, from files of many records that are read in splits."""
+    found = ris.read_bulk_ris(spark, inputs.ris_bulk_folder(spark, sf_dir))
+    number = F.regexp_extract("text", r"(?m)^ID  - (\d+)", 1).cast("long").alias("doc_id")
+    return _titled(ris.bulk_ris_records(found.select(number, "text"), keep=("doc_id",)))
+
+
+BIB_FIELDS = ("ENTRYTYPE", "ID", "title", "author", "abstract", "note", "month", "year")
+
+
 def bib_records(spark, sf_dir):
     entries = bibtex.bib_records(inputs.bib_texts(spark, sf_dir), keep=("doc_id",))
-    names = ("ENTRYTYPE", "ID", "title", "author", "abstract", "note", "month", "year")
-    return entries.select("doc_id", *[F.col("fields")[name].alias(name) for name in names])
+    return entries.select("doc_id", *[F.col("fields")[name].alias(name) for name in BIB_FIELDS])
+
+
+def bib_bulk(spark, sf_dir):
+    """As `bib_records`, from files of many entries that are read in splits; the key tells the document."""
+    entries = bibtex.read_bulk_bibtex(spark, inputs.bib_bulk_folder(spark, sf_dir))
+    key = F.regexp_extract(F.col("fields")["ID"], r"^key(\d+)$", 1)
+    fields = [F.col("fields")[name].alias(name) for name in BIB_FIELDS]
+    return entries.where(key != "").select(key.cast("long").alias("doc_id"), *fields)
 
 
 def dispatch_ext(spark, sf_dir):
@@ -354,6 +371,13 @@ def read_raw(spark, sf_dir):
     return tables.read_raw(spark, path)
 
 
+def read_raw_splits(spark, sf_dir):
+    """As `read_raw`, each file read by many tasks."""
+    path = fresh_path(spark, "raw")
+    tables.write_raw(records.project_corpus(inputs.articles(spark, sf_dir)), path)
+    return tables.read_raw(spark, path, splits=True)
+
+
 def read_normalized(spark, sf_dir):
     path = fresh_path(spark, "normalized")
     articles = records.project_corpus(inputs.articles(spark, sf_dir))
@@ -413,7 +437,9 @@ QUERIES = {
     "cap_global": cap_global,
     "ris_records": ris_records,
     "ris_full": ris_full,
+    "ris_bulk": ris_bulk,
     "bib_records": bib_records,
+    "bib_bulk": bib_bulk,
     "dispatch_ext": dispatch_ext,
     "rejected_files": rejected_files,
     "query_rejects": query_rejects,
@@ -431,6 +457,7 @@ QUERIES = {
     "project_corpus": project_corpus,
     "union_sections": union_sections,
     "read_raw": read_raw,
+    "read_raw_splits": read_raw_splits,
     "read_normalized": read_normalized,
     "section_counts": section_counts,
     "null_counts": null_counts,
