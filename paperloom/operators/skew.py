@@ -8,9 +8,13 @@ shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from paperloom.session import materialise
 
 MAX_FREQUENT_KEYS = 50_000
+SALTS = 64
+UNBOUNDED = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
 MAX_BROADCAST_BYTES = 64 << 20
 
 
@@ -32,20 +36,35 @@ def lookup_join(
     how: str = "inner",
     counts: DataFrame | None = None,
     max_keys: int = MAX_FREQUENT_KEYS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Join `rows` to `table` (one row per key) without sending a frequent key to one task.
 
     Rows of frequent keys meet a bounded broadcast table where they are; only
-    the remaining rows are shuffled. `rows` is read more than once, so pass a
-    written table. `how` is `inner` or `left`.
+    the remaining rows are shuffled. Where the table holds texts or lists, those
+    of the frequent keys are measured; beyond `max_bytes` their rows are dealt
+    over SALTS tasks for each key instead. `rows` is read more than once, so
+    pass a written table. `how` is `inner` or `left`.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
     if counts is None:
         counts = key_counts(rows.where(F.col(key).isNotNull()), key)
     hot = frequent_keys(counts, key, max_keys).select(key)
-    hot_table = F.broadcast(hot.join(table, key, how))
-    hot_rows = rows.join(hot_table, key, "inner")
+    hot_table = hot.join(table, key, how)
+    if any(isinstance(f.dataType, UNBOUNDED) for f in table.schema if f.name != key):
+        # a bound of the number of keys is none of the bytes where values are long
+        hot_table = materialise(hot_table, "frequent-values")
+        lengths = [F.coalesce(F.length(F.to_json(F.struct(c))), F.lit(0)) for c in hot_table.columns]
+        size = hot_table.agg(F.coalesce(F.sum(sum(lengths, F.lit(0))), F.lit(0)).alias("bytes")).first()["bytes"]
+    else:
+        size = 0
+    if size <= max_bytes:
+        hot_rows = rows.join(F.broadcast(hot_table), key, "inner")
+    else:
+        salted = rows.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+        copies = hot_table.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        hot_rows = salted.join(copies, [key, "__salt"], "inner").drop("__salt")
     named = rows.where(F.col(key).isNotNull())
     cold_rows = named.join(F.broadcast(hot), key, "left_anti").join(table, key, how)
     joined = hot_rows.unionByName(cold_rows)

@@ -456,6 +456,7 @@ FROM articles""",
 # the same rows by another way of reading
 ORACLE_SQL |= {
     "ris_bulk": ORACLE_SQL["ris_full"],
+    "search_arrivals": ORACLE_SQL["search_files"],
     "bib_bulk": ORACLE_SQL["bib_records"],
     "read_raw_splits": ORACLE_SQL["read_raw"],
 }

@@ -11,6 +11,7 @@ from paperloom.plans import build_corpus, build_index, search
 from paperloom.registry import inputs
 from paperloom.session import fresh_path, materialise
 from paperloom.sources import bibtex, citations, index_store, listing_pages, nbib, ris, tables
+from paperloom.streaming import drop_folder
 
 CORPUS = "documents"
 # Sums of doubles differ in their last digits with the order of the rows; six digits do not show it.
@@ -291,6 +292,18 @@ def search_reindexed(spark, sf_dir):
     return search.search_files(spark, inputs.query_files(spark, sf_dir), base, CORPUS, key="doc_id")
 
 
+def search_arrivals(spark, sf_dir):
+    """As `search_files`, with the query files arriving in a folder, a few at a time."""
+    base, inbox, out = (fresh_path(spark, name) for name in ("index", "inbox", "answers"))
+    build_index.index_articles(inputs.articles(spark, sf_dir), base, CORPUS)
+    rows = inputs.query_files(spark, sf_dir)
+    rows.repartition(3, "doc_id").write.parquet(inbox)
+    arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(inbox)
+    drop_folder.answer_arrivals(arriving, base, CORPUS, out, fresh_path(spark, "marks"), key="doc_id").awaitTermination()
+    found, _ = drop_folder.read_answers(spark, out)
+    return found.select(F.col("query_id").cast("long").alias("query_id"), "rank", "doc_id", "score")
+
+
 def parse_pubdate(spark, sf_dir):
     raw = inputs.table(spark, sf_dir, "documents").select("doc_id", inputs.citation_dates().alias("raw"))
     return raw.select(
@@ -325,9 +338,7 @@ def page_rejects(spark, sf_dir):
 def preprint_all(spark, sf_dir):
     """The preprint table of all sections and pages, without a limit."""
     pages = inputs.listing_pages(spark, sf_dir)
-    sections = [r["url"] for r in pages.select(listing_pages.section_of(F.col("url")).alias("url")).distinct().collect()]
-    details = inputs.detail_pages(spark, sf_dir)
-    return build_corpus.preprint_corpus(pages, *details, sections={url: url for url in sections})
+    return build_corpus.preprint_corpus(pages, *inputs.detail_pages(spark, sf_dir), sections=None)
 
 
 def page_details(spark, sf_dir):
@@ -424,6 +435,7 @@ QUERIES = {
     "search_compacted": search_compacted,
     "search_files": search_files,
     "search_reindexed": search_reindexed,
+    "search_arrivals": search_arrivals,
     "search_lemmas": search_lemmas,
     "normalize_docs": normalize_docs,
     "normalize_compat": normalize_compat,
