@@ -10,7 +10,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from paperloom.llm.tokens import ByteLevelEncoder
+from paperloom.llm.tokens import worker_encoder
 
 SEQUENCE_TOKENS = 2048
 GROUP_DOCUMENTS = 4096
@@ -72,7 +72,9 @@ def pack_sequences(
     Each document is its ids followed by `end_id`. Groups of about
     `group_documents` documents, chosen by hash, are packed on their own by
     first-fit decreasing, so nothing is sorted or packed as a whole, and a
-    group has at most one shorter piece of each of its documents. Returns
+    group has at most one shorter piece of each of its documents. Full pieces
+    are spread over the groups one by one, and long texts make more groups, so
+    a group has about that many pieces however long a document is. Returns
     doc_id, start, length, ids_crc32 (of the ids as little-endian 32-bit
     integers), doc_tokens, sequence_id, offset and, if asked for, the ids
     themselves (the same integers as bytes).
@@ -81,10 +83,12 @@ def pack_sequences(
     documents of their own and are spread over groups. An empty table gives no
     rows; other columns are not read.
     """
-    groups = max(1, -(-docs.count() // group_documents))
+    size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text_col)).alias("bytes")).first()
+    # an id stands for a byte at least, so a text has no more full pieces than this
+    groups = max(1, -(-size["n"] // group_documents), -(-(size["bytes"] or 0) // (group_documents * capacity)))
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, number = ByteLevelEncoder(tokenizer_path), 0
+        encoder, number = worker_encoder(tokenizer_path), 0
         for batch in batches:
             out = []
             for doc_id, text in zip(batch["id"].tolist(), batch["text"].tolist()):
@@ -92,10 +96,11 @@ def pack_sequences(
                 doc_id = None if pd.isna(doc_id) else int(doc_id)
                 number += 1  # keeps apart rows that are equal in all else
                 key = f"{doc_id} {len(ids)} {zlib.crc32(ids)} {number}"
-                group = xxhash.xxh3_64_intdigest(key) % groups
                 for start in range(0, len(ids), capacity):
                     part = ids[start : start + capacity]
                     raw = part.tobytes()
+                    own = f"{key} {start}" if len(part) == capacity else key
+                    group = xxhash.xxh3_64_intdigest(own) % groups
                     out.append(
                         (doc_id, start, len(part), zlib.crc32(raw), len(ids), raw if with_ids else None, group)
                     )
