@@ -20,6 +20,13 @@ def id_remainder(doc_id: Column, divisor: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % divisor
 
 
+def check_kept(keep: tuple[str, ...], added: tuple[str, ...]) -> None:
+    """Columns that a result is to carry must not have the names of its own columns."""
+    clash = sorted({c.lower() for c in keep} & {c.lower() for c in added})
+    if clash:
+        raise ValueError(f"rename the columns {clash} first: the result has columns of its own by these names")
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """How many tasks a shuffle has; a fixed limit holds for lists kept by the driver."""
     return max(1, min(MAX_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions"))))

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from paperloom.llm.common import by_rows
+from paperloom.llm.common import by_rows, check_kept
 
 DIMENSIONS = 1024
 SEED = 20
@@ -17,6 +17,8 @@ CACHED_GRAMS = 60_000
 DOCUMENTS_PER_LANGUAGE = 1500  # bound of the labelled sample that the prototypes are built from
 UNDETERMINED = "und"
 BATCH_TEXTS = 256
+ENOUGH_GRAMS = 40  # distinct trigrams of a text that can be told from noise
+ORDINARY = 0.01  # share of the labelled sample that may be further from its own language than ordinary texts
 GAP = 32  # stands for any run of characters other than letters
 
 
@@ -75,15 +77,19 @@ class GramSpace:
 
     def profile(self, text: str | None) -> np.ndarray | None:
         """The bundle of all trigrams, scaled to length one; None without a letter."""
+        return self.measured(text)[0]
+
+    def measured(self, text: str | None) -> tuple[np.ndarray | None, int]:
+        """The profile of a text and the number of its distinct trigrams."""
         if not text:
-            return None
+            return None, 0
         grams, counts = self.trigrams(text)
         if not len(grams):
-            return None
+            return None, 0
         rows = self.places(grams)  # may move `vectors`
         bundle = counts.astype("float32") @ self.vectors[rows]
         length = float(np.linalg.norm(bundle))
-        return bundle / length if length else bundle
+        return bundle / length if length else bundle, len(grams)
 
 
 @dataclass
@@ -92,6 +98,26 @@ class LanguageModel:
     prototypes: np.ndarray  # one unit vector for each language
 
 
+def _sample(
+    docs: DataFrame, usable: Column, id_col: str, text_col: str, lang_col: str, per_language: int
+) -> DataFrame:
+    """(id, lang, text) of at most `per_language` labelled documents of each language, chosen by a hash of the id.
+
+    Languages are counted first; a hash then leaves little more than the wanted
+    number of each, before any rows of one language meet in a task.
+    """
+    rows = docs.where(usable & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull())
+    ids = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
+    # one row for each language, as the model has one vector
+    share = ids.groupBy("lang").agg((F.lit(1.2 * per_language + 100) / F.count(F.lit(1))).alias("share"))
+    place = F.xxhash64("id") / F.lit(2.0**64) + F.lit(0.5)
+    near = ids.join(F.broadcast(share), "lang").where(place < F.col("share")).select("id", "lang")
+    first = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    sample = near.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).select("id").distinct()
+    wanted = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    return wanted.join(F.broadcast(sample), "id", "left_semi")
+
+
 def train_languages(
     docs: DataFrame,
     usable: Column,
@@ -106,13 +132,7 @@ def train_languages(
     holds. Each task sends the sum of its documents' profiles, so the driver
     gets no more vectors than the sample has documents.
     """
-    rows = docs.where(usable & F.col(id_col).isNotNull() & F.col(lang_col).isNotNull())
-    ids = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
-    first = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    sample = ids.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_language).select("id").distinct()
-    chosen = rows.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(
-        F.broadcast(sample), "id", "left_semi"
-    )
+    chosen = _sample(docs, usable, id_col, text_col, lang_col, per_language)
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         space, total = GramSpace(), {}
@@ -134,25 +154,60 @@ def train_languages(
     return LanguageModel(names, vectors)
 
 
+def ordinary_cosine(
+    docs: DataFrame,
+    usable: Column,
+    model: LanguageModel,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    per_language: int = DOCUMENTS_PER_LANGUAGE,
+) -> float:
+    """A cosine well below those of texts in the learned languages: half of what all but ORDINARY of the sample reach.
+
+    The sample is the one of `train_languages`; only texts with ENOUGH_GRAMS
+    trigrams are measured, each against its own language. 0 without any.
+    """
+    at = {name: i for i, name in enumerate(model.languages)}
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        space = GramSpace()
+        for batch in batches:
+            found = []
+            for lang, text in zip(batch["lang"], batch["text"]):
+                profile, n_grams = space.measured(text)
+                if profile is not None and lang in at and n_grams >= ENOUGH_GRAMS:
+                    found.append(float(model.prototypes[at[lang]] @ profile))
+            yield pd.DataFrame({"cosine": found}, dtype="float64")
+
+    chosen = _sample(docs, usable, id_col, text_col, lang_col, per_language)
+    found = chosen.mapInPandas(measure, "cosine double").toPandas()["cosine"]  # no more numbers than the sample has rows
+    return max(0.0, float(np.quantile(found, ORDINARY)) / 2) if len(found) else 0.0
+
+
 def identify_languages(
     docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """The nearest language prototype of every whole text: doc_id, lang_pred, score, and the columns in `keep`.
+    """The nearest language prototype of every whole text: doc_id, lang_pred, score, grams, and the columns in `keep`.
 
     score is the cosine of the document's bundle and the prototype, 0 where it
     is negative. Null and empty texts and texts without a letter are `und`
     with score 0, and so is everything when no language was learned. Equal
-    cosines take the language that sorts first. Rows are judged one by one:
-    repeated rows and null ids stay. An empty table gives no rows.
+    cosines take the language that sorts first. grams is the number of distinct
+    trigrams. Rows are judged one by one: repeated rows and null ids stay. An
+    empty table gives no rows. `keep` must not name a column of the result;
+    that raises a ValueError.
     """
+    check_kept(keep, ("lang_pred", "score", "grams"))
     names, prototypes = model.languages, model.prototypes
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         space = GramSpace()
         for piece in by_rows(batches, BATCH_TEXTS):
-            preds, scores = [], []
+            preds, scores, grams = [], [], []
             for text in piece["__text"]:
-                profile = space.profile(text) if names else None
+                profile, n_grams = space.measured(text) if names else (None, 0)
+                grams.append(n_grams)
                 if profile is None:
                     preds.append(UNDETERMINED)
                     scores.append(0.0)
@@ -161,12 +216,12 @@ def identify_languages(
                 best = int(np.argmax(cosines))
                 preds.append(names[best])
                 scores.append(min(1.0, max(0.0, float(cosines[best]))))
-            yield piece.drop(columns="__text").assign(lang_pred=preds, score=scores)
+            yield piece.drop(columns="__text").assign(lang_pred=preds, score=scores, grams=grams)
 
     kept = docs.select(
         F.col(id_col).alias("doc_id"), *[F.col(c) for c in keep if c != "doc_id"], F.col(text_col).alias("__text")
     )
-    schema = kept.drop("__text").schema.add("lang_pred", "string").add("score", "double")
+    schema = kept.drop("__text").schema.add("lang_pred", "string").add("score", "double").add("grams", "long")
     for field in schema.fields:
         field.nullable = True
     return kept.mapInPandas(work, schema)

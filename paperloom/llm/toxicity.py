@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from paperloom.llm.common import by_rows
+from paperloom.llm.common import by_rows, check_kept
 
 BUCKETS = 1 << 20
 SAMPLE_DOCUMENTS = 12_000  # bound of the labelled sample that the weights are fitted to
@@ -212,8 +212,10 @@ def score_toxicity(
     offending holds start, end (characters) and score of each sentence whose
     own score reaches one half, in the order of the text. Null and empty texts
     and texts without a word have score 0. Rows are judged one by one:
-    repeated rows and null ids stay. An empty table gives no rows.
+    repeated rows and null ids stay. An empty table gives no rows. `keep` must
+    not name a column of the result; that raises a ValueError.
     """
+    check_kept(keep, ("score", "predicted", "offending"))
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast((model.weights, model.bias))  # BUCKETS floats, whatever the input
 

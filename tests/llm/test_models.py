@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,6 +55,63 @@ def test_odd_rows_have_a_language(corpus, odd_docs, no_docs):
     assert {r.lang_pred for r in identify_languages(odd_docs, nothing).collect()} == {"und"}
 
 
+def test_prototypes_are_the_plain_bundles_and_scores_their_cosines(spark):
+    """Every trigram vector made by hand: letters of +1 and -1, permuted by place, multiplied, added up."""
+    import numpy as np
+
+    from paperloom.llm.language import DIMENSIONS, SEED
+
+    order = np.random.default_rng(SEED).permutation(DIMENSIONS)
+    letter = lambda c: 2.0 * np.random.default_rng([SEED, ord(c)]).integers(0, 2, DIMENSIONS) - 1
+
+    def bundle(text):
+        spaced = " " + "".join(c if c.isalpha() else " " for c in text.lower()) + " "
+        spaced = re.sub(" +", " ", spaced)
+        total = sum(letter(a)[order][order] * letter(b)[order] * letter(c) for a, b, c in zip(spaced, spaced[1:], spaced[2:]))
+        return total / np.linalg.norm(total)
+
+    rows = [(1, "Some words, and more", "en"), (2, "words 12 of Öl", "en"), (3, "zug zug hin", "xx"), (4, "more zug?", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = train_languages(docs, F.lit(True))
+    sums = {lang: sum(bundle(t) for _, t, own in rows if own == lang) for lang in ("en", "xx")}
+    wanted = {lang: v / np.linalg.norm(v) for lang, v in sums.items()}
+    assert model.languages == ["en", "xx"]
+    np.testing.assert_allclose(model.prototypes, [wanted["en"], wanted["xx"]], atol=1e-5)
+    for r in identify_languages(docs, model, keep=("text",)).collect():
+        cosines = {lang: float(v @ bundle(r.text)) for lang, v in wanted.items()}
+        assert r.lang_pred == max(cosines, key=cosines.get) and r.score == pytest.approx(max(cosines.values()), abs=1e-5)
+
+
+def test_samples_are_bounded_and_the_same_in_any_layout(spark):
+    from paperloom.llm.language import _sample
+
+    rows = [(i, f"t{i}", "hot" if i % 10 else "cold") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    ids = [
+        sorted((r.lang, r.id) for r in _sample(docs.repartition(n), F.lit(True), "doc_id", "text", "lang", 200).collect())
+        for n in (1, 7)
+    ]
+    assert ids[0] == ids[1] and len(ids[0]) == 400
+
+
+def test_kept_columns_must_not_clash(spark, corpus, odd_docs):
+    docs, labels = corpus
+    for keep in (("score",), ("Lang_Pred",)):
+        with pytest.raises(ValueError, match="rename the columns"):
+            identify_languages(docs, train_languages(docs, F.lit(False)), keep=keep)
+    with pytest.raises(ValueError, match="rename the columns"):
+        score_toxicity(odd_docs, train_toxicity(docs, labels.limit(0), F.lit(True)), keep=("score",))
+
+
+def test_noisy_or_of_sentences_by_hand():
+    import numpy as np
+
+    from paperloom.llm.toxicity import noisy_or
+
+    assert noisy_or(np.array([0.5, 0.2])) == pytest.approx(1 - 0.5 * 0.8)
+    assert noisy_or(np.zeros(0)) == 0.0 and noisy_or(np.array([1.0, 0.3])) == pytest.approx(1.0, abs=1e-6)
+
+
 def test_toxicity_of_held_out_documents(corpus):
     docs, labels = corpus
     held_out = id_remainder(F.col("doc_id"), 5) == 0

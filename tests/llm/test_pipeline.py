@@ -1,4 +1,5 @@
 import os
+import random
 from collections import Counter
 
 import pytest
@@ -18,7 +19,7 @@ def test_same_rows_as_sql(spark, name):
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE_SQL) <= set(oracle_sql())
 
 
@@ -40,6 +41,41 @@ def test_stages_over_odd_rows(spark, odd_docs, tmp_path):
     assert docs.count() > 0
 
 
+def test_noise_and_foreign_texts_go_and_clean_ones_stay(spark):
+    rng = random.Random(3)
+    syllables = {"aa": ["ka", "ri", "to", "mun", "el"], "bb": ["ost", "vre", "zug", "hin", "pf"]}
+
+    def text(parts, n):
+        return " ".join("".join(rng.choices(parts, k=rng.randint(1, 4))) for _ in range(n))
+
+    clean = [(i, text(syllables[lang], rng.choice((1, 3, 40, 200))), lang, "s", 0) for i in range(300) for lang in ["aa" if i % 2 else "bb"]]
+    noise = ["".join(rng.choices("qwxyjdcbsäß   ", k=600)) for _ in range(20)] + [text(["жы", "щур", "ло", "бг"], 150) for _ in range(20)]
+    rows = clean + [(1000 + i, t, None, "s", 0) for i, t in enumerate(noise)] + [(2000, "123 !!", "aa", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.keep_known_languages(spark, docs, SF_DIR).collect()}
+    assert {r[0] for r in clean} <= kept
+    assert len(kept - {r[0] for r in clean}) <= 2
+
+
+def test_planted_copies_and_passages(spark):
+    """Of texts that are equal or nearly so one stays; a passage stays where it comes first."""
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(3000)]
+    texts = {i: rng.choices(words, k=150) for i in range(40)}
+    for i in (1, 2, 3):  # near copies of text 0: one word of 150 differs
+        texts[i] = texts[0][:70] + [f"new{i}"] + texts[0][71:]
+    texts[5] = list(texts[4])
+    passage = rng.choices(words, k=60)
+    texts[10], texts[20] = texts[10] + passage, texts[20][:50] + passage + texts[20][50:]
+    rows = [(i, " ".join(t), "en", "s", 0) for i, t in texts.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR)
+    assert {r.doc_id for r in kept.collect()} == set(range(40)) - {1, 2, 3, 5}
+    cut = {r.doc_id: r.text.split() for r in corpus_pipeline.cut_repeated_passages(spark, kept, SF_DIR).collect()}
+    assert cut[10] == texts[10] and cut[20] == texts[20][:50] + texts[20][110:]
+    assert all(cut[i] == texts[i] for i in cut if i != 20)
+
+
 def test_whole_run(spark):
     found = corpus_pipeline.run(spark, SF_DIR)
     assert {"doc_id", "sequence_id", "offset", "ids"} <= set(found.columns)
