@@ -21,17 +21,20 @@ def terms(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, text_col: str, min_idf: float = MIN_IDF, max_idf: float = MAX_IDF) -> DataFrame:
-    """Hashes of the terms whose idf lies in the band, counted over all documents: one column, `term`.
+    """Hashes of terms, counted over all documents, and whether their idf lies in the band: `term`, `known`.
 
-    A term is kept only if at least one in exp(max_idf) documents has it, so
-    there are at most exp(max_idf) x (mean distinct terms of a document) terms
-    however large the corpus is. Counts are combined before the shuffle.
+    Terms below the band, the common ones, are not `known`; terms above it, the
+    rare ones, are not listed. A term is listed only if at least one in
+    exp(max_idf) documents has it, so there are at most exp(max_idf) x (mean
+    distinct terms of a document) terms however large the corpus is. Counts are
+    combined before the shuffle.
     """
     found = docs.select(F.explode(terms(F.col(text_col))).alias("t")).where(F.col("t") != "")
     counts = found.select(F.xxhash64("t").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n_docs = docs.count()
     low, high = n_docs * math.exp(-max_idf), n_docs * math.exp(-min_idf)
-    return counts.where((F.col("df") >= low) & ((F.col("df") <= high) | (F.col("df") < 3))).select("term")
+    known = (F.col("df") <= high) | (F.col("df") < 3)
+    return counts.where(F.col("df") >= low).select("term", known.alias("known"))
 
 
 def fingerprint(sorted_terms: Column) -> Column:
@@ -126,8 +129,10 @@ def imatch_neighbours(
     of the lexicon. Returns the id as `doc_id`, n_chars, edited_sha256,
     fingerprint, edited_fingerprint, near_edited, near_next.
 
-    Null and empty texts, and texts without a term in the band, have a
-    fingerprint of zeros and are fully alike. Null ids come first. Repeated
+    Texts without a term in the band are printed by two of their rare terms,
+    the least and the greatest hash, or, without any, by two of their common
+    ones. Null and empty texts and texts without a term have a fingerprint of
+    zeros and are fully alike. Null ids come first. Repeated
     ids and rows are separate rows, ordered by text. A single document is its
     own next one. An empty table gives no rows; other columns are not read.
     """
@@ -146,10 +151,21 @@ def imatch_neighbours(
     body = lambda text, kind: F.struct(no_head, terms(F.col(text)).alias("ts"), F.lit(kind).alias("kind"))
     rows = with_edit.select("at", "place", F.inline(F.array(head, body("text", 1), body("edited", 2))))
     words = rows.select("at", "place", "head", "kind", F.explode_outer("ts").alias("t"))
-    hashed = words.select("at", "place", "head", "kind", F.xxhash64("t").alias("term"))
-    allowed = lexicon(docs, text_col, min_idf, max_idf).withColumn("known", F.lit(True))
-    marked = hashed.join(F.broadcast(allowed), "term", "left").where(F.col("known") | (F.col("kind") == 0))
-    per_kind = lambda kind: F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.col("term"))))
+    hashed = words.select("at", "place", "head", "kind", F.when(F.col("t") != "", F.xxhash64("t")).alias("term"))
+    marked = hashed.join(F.broadcast(lexicon(docs, text_col, min_idf, max_idf)), "term", "left")
+
+    def per_kind(kind: int) -> Column:
+        of = lambda c: F.when((F.col("kind") == kind) & c, F.col("term"))
+        rare, common = F.col("known").isNull(), ~F.col("known")
+        ends = lambda c: F.array_distinct(F.array(F.min(of(c)), F.max(of(c))))
+        found = F.array_sort(F.collect_list(of(F.col("known"))))
+        return (
+            F.when(F.size(found) > 0, found)
+            .when(F.min(of(rare)).isNotNull(), ends(rare))
+            .when(F.min(of(common)).isNotNull(), ends(common))
+            .otherwise(found)
+        )
+
     grouped = marked.groupBy("at", "place").agg(
         F.first("head", ignorenulls=True).alias("head"), per_kind(1).alias("own"), per_kind(2).alias("changed")
     )

@@ -56,3 +56,43 @@ def test_odd_rows(odd_docs, no_docs):
 def test_one_document_follows_itself(spark):
     (row,) = P.imatch_neighbours(spark.createDataFrame([(1, "abcd")], "doc_id long, text string")).collect()
     assert row.edited_sha256 == hashlib.sha256(b"abab").hexdigest() and row.near_next == 1.0
+
+
+def test_texts_without_a_term_in_the_band_differ(spark):
+    rows = [(i, "common words " + " ".join(f"w{j}" for j in range(i, i + 5))) for i in range(60)]
+    rows += [(100, "common here"), (101, "words common"), (102, "common strange"), (103, "common strange")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    # words of one text in 64 or less are above the band
+    got = {r.doc_id: r for r in P.imatch_neighbours(docs, max_idf=3.0).collect()}
+    prints = [got[i].fingerprint for i in (100, 101, 102)]
+    assert ZEROS not in prints and len(set(prints)) == 3
+    assert got[102].fingerprint == got[103].fingerprint and got[102].near_next == 1.0
+    assert got[100].near_next < 1 and got[101].near_next < 1
+
+
+def test_prints_are_hashes_of_the_sorted_terms_of_every_subset(spark):
+    """Lexicon, band, subsets and likeness by hand; Spark only hashes."""
+    import math
+    from collections import Counter
+
+    rows = [(i, " ".join(f"t{(i * 7 + j * j) % 40}" for j in range(12)) + " all") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in P.imatch_neighbours(docs).collect()}
+    df = Counter(t for _, text in rows for t in set(text.split()))
+    band = {t for t, n in df.items() if n >= 30 * math.exp(-P.MAX_IDF) and (n <= 30 * math.exp(-P.MIN_IDF) or n < 3)}
+    numbers = {r.t: r.h for r in spark.createDataFrame([(t,) for t in band], "t string").selectExpr("t", "xxhash64(t) AS h").collect()}
+
+    def printed(text):
+        hashes = sorted(numbers[t] for t in set(text.split()) & band)
+        part = lambda bits: [[h for h in hashes if (h % 2**64) >> (64 - bits) == p] for p in range(2**bits)]
+        subsets = [hashes, *part(4), *part(8)]
+        frame = spark.createDataFrame([(i, s) for i, s in enumerate(subsets)], "i int, s array<long>")
+        found = frame.selectExpr("i", "s", "lower(right(lpad(hex(xxhash64(s)), 16, '0'), 4)) AS p").orderBy("i").collect()
+        return [r.p if r.s else P.EMPTY_PART for r in found]
+
+    prints = {i: printed(text) for i, text in rows[:4]}
+    for i in range(3):
+        assert got[i].fingerprint == "".join(prints[i])
+        used = [(a, b) for a, b in zip(prints[i], prints[i + 1]) if (a, b) != (P.EMPTY_PART, P.EMPTY_PART)]
+        same = sum(a == b for a, b in used)
+        assert got[i].near_next == pytest.approx(1.0 if prints[i] == prints[i + 1] else same / len(used))
