@@ -1,5 +1,7 @@
 """From saved exports to a search result, through the public functions only."""
 
+import pytest
+
 from paperloom.operators.ordering import with_row_index
 from paperloom.plans.build_corpus import journal_corpus, normalized_corpus
 from paperloom.plans.build_index import index_articles
@@ -49,3 +51,26 @@ def test_lemmas_on_both_sides(spark, tmp_path):
     (tmp_path / "queries" / "q.bib").write_text("@article{q, title={The studies}}")
     found = search_entries(spark, read_entries(spark, str(tmp_path / "queries")), str(tmp_path / "index"), "c")
     assert {r.doc_id for r in found.where("score > 0").collect()} == {0, 1}
+
+
+def test_one_command_indexes_and_adds(spark, tmp_path):
+    from paperloom.plans.run import parsed, run
+    from paperloom.plans.search import search
+
+    record = "PMID- {0}\nTI  - {1}\nAB  - We study {1}\nAU  - A\nJT  - J\nDP  - 2020\nLID - 10.1/{0} [doi]\n"
+    for name, titles in (("first", TITLES[:2]), ("second", TITLES[2:])):
+        (tmp_path / name).mkdir()
+        text = "\n\n".join(record.format(f"{name}{i}", t) for i, t in enumerate([*titles, titles[0]]) if i < 2 or name == "first")
+        (tmp_path / name / "all.nbib").write_text(text)
+    base, out = str(tmp_path / "index"), str(tmp_path / "corpus")
+    options = ["--index", base, "--corpus-out", out]
+    first = run(spark, parsed([*options, "--exports", str(tmp_path / "first")]))["pubmed"]
+    both = run(spark, parsed([*options, "--exports", str(tmp_path / "second"), "--append", "--keep-versions", "1"]))["pubmed"]
+    assert (first.n_docs, both.n_docs, len(both.segments)) == (3, 5, 2)
+    kept = {r.doc_id: r.Title for r in spark.read.parquet(f"{out}/pubmed.parquet").collect()}
+    assert sorted(kept) == list(range(5))
+    queries = spark.createDataFrame([(1, "cancer burden")], "query_id long, text string")
+    (best,) = search(spark, queries, base, "pubmed").where("rank = 1").collect()
+    assert kept[best.doc_id] == "Burden of cancer"
+    with pytest.raises(SystemExit):
+        parsed(["--index", base])
