@@ -24,7 +24,7 @@ BANDS, ROWS = 14, 4  # a pair at 0.8 is missed with probability (1 - 0.8**4)**14
 TABLE_BITS = 16
 SEED = 7
 RAREST = 2000  # words in fewer than one in RAREST documents count as if in that many; bounds the table of words
-BATCH_SHINGLES = 150_000
+BATCH_SHINGLES = 30_000  # of a few texts: their arrays stay in the processor's cache
 CACHED_WORDS = 300_000
 SPLIT = r"[ \t\n\x0B\f\r]+"
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
@@ -57,29 +57,40 @@ class Shingles:
     """Distinct shingles of a text with their tf-idf weights."""
 
     def __init__(self, words: np.ndarray, idf: np.ndarray, other: float):
-        self.words, self.idf, self.other = words, idf, other
-        self.known: dict[bytes, tuple[int, float]] = {}
-
-    def word(self, word: bytes) -> tuple[int, float]:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= CACHED_WORDS:
-                self.known.clear()
-            number = xxhash.xxh64_intdigest(word, 42)
-            signed = number - (1 << 64) if number >> 63 else number
-            at = int(np.searchsorted(self.words, signed))
-            common = at < len(self.words) and self.words[at] == signed
-            found = self.known[word] = (number, float(self.idf[at]) if common else self.other)
-        return found
+        self.words, self.common_idf, self.other = words, idf, other
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}  # word: its place in the arrays
+        self.hashes, self.idf = np.zeros(4096, "uint64"), np.zeros(4096)
+
+    def learn(self, new: list[bytes]) -> None:
+        """Hashes and idf of words not met before, all at once."""
+        start = len(self.known)
+        while start + len(new) > len(self.hashes):
+            self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)])
+            self.idf = np.concatenate([self.idf, np.zeros_like(self.idf)])
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in new), "uint64", len(new))
+        idf = np.full(len(new), self.other)
+        if len(self.words):
+            signed = hashes.view("int64")
+            at = np.minimum(np.searchsorted(self.words, signed), len(self.words) - 1)
+            idf = np.where(self.words[at] == signed, self.common_idf[at], self.other)
+        self.hashes[start : start + len(new)], self.idf[start : start + len(new)] = hashes, idf
+        self.known.update(zip(new, range(start, start + len(new))))
 
     def of(self, text: str | None) -> Vector:
         """Hashes, ascending, tf-idf weights and counts. Fewer than five words are one shingle; no words are none."""
         words = (text or "").lower().encode().split()
         if not words:
             return np.zeros(0, "uint64"), np.zeros(0), np.zeros(0)
-        pairs = [self.word(w) for w in words]
-        hashes = np.fromiter((p[0] for p in pairs), "uint64", len(pairs))
-        idf = np.fromiter((p[1] for p in pairs), "float64", len(pairs))
+        if len(self.known) >= CACHED_WORDS:
+            self.forget()
+        new = set(words).difference(self.known)
+        if new:
+            self.learn(list(new))
+        places = np.fromiter(map(self.known.__getitem__, words), "int64", len(words))
+        hashes, idf = self.hashes[places], self.idf[places]
         width = min(SHINGLE_WORDS, len(words))
         n = len(words) - width + 1
         mixed, weight = np.full(n, width, "uint64"), np.zeros(n)
@@ -87,8 +98,12 @@ class Shingles:
             mixed = (mixed ^ hashes[i : i + n]) * np.uint64(MIX[i])
             mixed ^= mixed >> np.uint64(29)
             weight += idf[i : i + n]
-        distinct, first, times = np.unique(mixed, return_index=True, return_counts=True)
-        return distinct, times * weight[first] / width, times.astype("float64")
+        order = np.argsort(mixed)
+        ascending = mixed[order]
+        first = np.flatnonzero(np.append(True, ascending[1:] != ascending[:-1]))
+        times = np.diff(np.append(first, n)).astype("float64")
+        # equal shingles have equal words, so any of them tells the weight
+        return ascending[first], times * weight[order[first]] / width, times
 
 
 class Sampler:
@@ -97,9 +112,12 @@ class Sampler:
     def __init__(self):
         rng = np.random.default_rng(SEED)
         size = 1 << TABLE_BITS
-        self.r = rng.gamma(2.0, 1.0, size).astype("float32")
-        self.log_c = np.log(rng.gamma(2.0, 1.0, size)).astype("float32")
+        r = rng.gamma(2.0, 1.0, size)
+        log_c = np.log(rng.gamma(2.0, 1.0, size))
         self.beta = rng.random(size).astype("float32")
+        self.r, self.inverse = r.astype("float32"), (1 / r).astype("float32")
+        # log a = log c - r (t - beta + 1), what does not depend on t is added up once
+        self.fixed = (log_c + r * (self.beta - 1.0)).astype("float32")
         self.factors = rng.integers(1 << 62, size=BANDS * ROWS, dtype="uint64") * np.uint64(2) + np.uint64(1)
 
     def bands(self, vectors: list[Vector]) -> np.ndarray:
@@ -111,10 +129,12 @@ class Sampler:
         out = np.zeros((len(vectors), BANDS), "uint64")
         for number, factor in enumerate(self.factors):
             place = (hashes * factor) >> np.uint64(64 - TABLE_BITS)
-            r = self.r[place]
-            beta = self.beta[place]
-            t = np.floor(log_w / r + beta)
-            log_a = self.log_c[place] - r * (t - beta + 1)
+            t = self.inverse[place]
+            t *= log_w
+            t += self.beta[place]
+            np.floor(t, out=t)
+            log_a = self.fixed[place]
+            log_a -= self.r[place] * t
             least = np.minimum.reduceat(log_a, starts)
             hits = np.flatnonzero(log_a == np.repeat(least, sizes))
             owner = np.searchsorted(starts, hits, "right") - 1
