@@ -8,6 +8,14 @@ from paperloom.llm.near_vectors import cluster_centres, near_vectors, unit_rows
 SCHEMA = "vec_id long, embedding array<double>, node string, unit int, part double"
 
 
+@pytest.fixture(autouse=True, scope="module")
+def few_partitions(spark):
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", kept)
+
+
 def plain(ids, vectors, threshold=0.9):
     units = unit_rows(np.asarray(vectors, "float64"))
     near = units @ units.T >= threshold
