@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from paperloom.llm.common import range_bounds, range_of, shuffle_width
-from paperloom.llm.tokens import ByteLevelEncoder
+from paperloom.llm.tokens import ByteLevelEncoder, worker_encoder
 from paperloom.session import fresh_path
 
 BLOCK_TOKENS = 1 << 19
@@ -28,10 +28,10 @@ CHECK_STEPS = 128
 SCALE_BITS = 20
 LOW = np.uint64(1 << 31)
 WORD_BITS = np.uint64(32)
-RAW_SCHEMA = "range int, first long, doc_ids binary, null_ids binary, lengths binary, ids binary"
+RAW_SCHEMA = "range int, first long, doc_ids binary, null_ids binary, lengths binary, ids binary, counts binary"
 RAW_FIELDS = pa.schema(
     [("range", pa.int32()), ("first", pa.int64())]
-    + [(name, pa.binary()) for name in ("doc_ids", "null_ids", "lengths", "ids")]
+    + [(name, pa.binary()) for name in ("doc_ids", "null_ids", "lengths", "ids", "counts")]
 )
 BATCH_TEXTS = 128
 BLOCK_SCHEMA = (
@@ -159,23 +159,35 @@ def write_token_files(
     ordered = ranged.sortWithinPartitions("range", F.col("id").asc_nulls_first(), "text")
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, current, first = ByteLevelEncoder(tokenizer_path), None, 0
+        encoder, current, first = worker_encoder(tokenizer_path), None, 0
         ids: list[np.ndarray] = []
         owners: list[tuple[int, bool]] = []
-        end = np.array([end_id], "<u4")
+        end, seen = np.array([end_id], "<u4"), np.zeros(0, "int64")
 
         def block() -> pa.RecordBatch:
+            nonlocal seen
             lengths = np.array([len(x) for x in ids], "<i8")
+            whole = np.concatenate(ids)
+            own = np.bincount(whole)
+            if len(own) > len(seen):
+                own, seen = seen, own
+            seen[: len(own)] += own
             row = {
                 "range": current,
                 "first": first,
                 "doc_ids": np.array([o for o, _ in owners], "<i8").tobytes(),
                 "null_ids": np.array([n for _, n in owners], "u1").tobytes(),
                 "lengths": lengths.tobytes(),
-                "ids": np.concatenate(ids).astype(encoder.width).tobytes(),
+                "ids": whole.astype(encoder.width).tobytes(),
             }
             return pa.RecordBatch.from_pylist([row], schema=RAW_FIELDS)
 
+        def tally() -> pa.RecordBatch:
+            """A last row that holds no block but how often each id occurs in the task's blocks."""
+            used = np.flatnonzero(seen)
+            row = {"counts": np.stack([used, seen[used]]).astype("<i8").tobytes()}
+            return pa.RecordBatch.from_pylist([{**dict.fromkeys(RAW_FIELDS.names), **row}], schema=RAW_FIELDS)
+
         held = 0
         # a few texts at a time become Python strings
         pieces = (b.slice(at, BATCH_TEXTS).to_pydict() for b in batches for at in range(0, b.num_rows, BATCH_TEXTS))
@@ -191,24 +203,22 @@ def write_token_files(
                 held += len(ids[-1])
         if ids:
             yield block()
+        yield tally()
 
     width = "<u2" if _fits_two_bytes(tokenizer_path, end_id) else "<u4"
     raw_path = fresh_path(spark, "raw-ids")
     ordered.mapInArrow(tokenise, RAW_SCHEMA).write.option("compression", "zstd").parquet(raw_path)
-    raw = spark.read.schema(RAW_SCHEMA).parquet(raw_path)
+    written = spark.read.schema(RAW_SCHEMA).parquet(raw_path)
+    raw = written.where(F.col("ids").isNotNull()).drop("counts")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(0, "int64")
         for batch in batches:
-            for ids in batch["ids"]:
-                seen = np.bincount(np.frombuffer(ids, width))
-                if len(seen) > len(total):
-                    total, seen = seen, total
-                total[: len(seen)] += seen
-        used = np.flatnonzero(total)
-        yield pd.DataFrame({"id": used, "n": total[used]})
-
-    counted = raw.select("ids").mapInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+            for pairs in batch["counts"]:
+                used, times = np.frombuffer(pairs, "<i8").reshape(2, -1)
+                yield pd.DataFrame({"id": used, "n": times})
+
+    tallies = written.where(F.col("counts").isNotNull()).select("counts")
+    counted = tallies.mapInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     rows = counted.collect()  # one row for each id of the vocabulary that occurs
     counts = np.zeros(max((r["id"] for r in rows), default=-1) + 1, "int64")
     for r in rows:

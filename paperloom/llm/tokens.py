@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -38,19 +40,32 @@ class ChunkIds(dict):
 
     def __init__(self, tokenizer, prefix: str, width: str, plain: ChunkIds | None = None):
         super().__init__()
-        self.encode, self.merge = tokenizer.encode, tokenizer.model.tokenize
-        self.prefix, self.width, self.plain = prefix, width, plain
-        self.symbols = byte_symbols()
+        self.whole, self.merge = tokenizer.encode, tokenizer.model.tokenize
+        self.prefix, self.plain, self.symbols = prefix, plain, byte_symbols()
+        self.lead = prefix.translate(self.symbols)
+        self.code = "H" if width == "<u2" else "I"
+
+    def packed(self, ids: list[int]) -> bytes:
+        found = array(self.code, ids)
+        if sys.byteorder == "big":
+            found.byteswap()
+        return found.tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
-        word = chunk.rstrip(STOPS)
-        if len(word) < len(chunk) and word.isalpha() and self.plain is not None:
-            found = self[word] + self.plain[chunk[len(word) :]]
-        elif chunk.isalpha() and (chunk.isascii() or max(chunk) < LAST_SIMPLE_LETTER):
-            spelled = (self.prefix + chunk).encode().decode("latin-1").translate(self.symbols)
-            found = np.array([token.id for token in self.merge(spelled)], self.width).tobytes()
+        if chunk.isalpha():
+            if chunk.isascii():  # such letters stand for themselves
+                found = self.packed([token.id for token in self.merge(self.lead + chunk)])
+            elif max(chunk) < LAST_SIMPLE_LETTER:
+                spelled = (self.prefix + chunk).encode().decode("latin-1").translate(self.symbols)
+                found = self.packed([token.id for token in self.merge(spelled)])
+            else:
+                found = self.packed(self.whole(self.prefix + chunk, add_special_tokens=False).ids)
         else:
-            found = np.array(self.encode(self.prefix + chunk, add_special_tokens=False).ids, self.width).tobytes()
+            word = chunk.rstrip(STOPS)
+            if self.plain is not None and word.isalpha() and len(word) < len(chunk):
+                found = self[word] + self.plain[chunk[len(word) :]]
+            else:
+                found = self.packed(self.whole(self.prefix + chunk, add_special_tokens=False).ids)
         if len(chunk) <= LONGEST_CACHED:
             if len(self) >= CACHED_CHUNKS:
                 for late in list(self)[KEPT_CHUNKS:]:
