@@ -11,10 +11,11 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from paperloom.operators import exact, similarity
+from paperloom.operators import exact, grams, similarity
 from paperloom.plans import build_index as plans
 from paperloom.plans.build_index import append_articles, append_index, build_index, compact_index, index_articles
 from paperloom.plans.search import search, search_files
+from paperloom.registry import queries as registered
 from paperloom.sources import index_store as store
 from test_search import DOCS, QUERIES, as_lists, assert_same, brute_force, frames
 
@@ -272,6 +273,46 @@ def test_layout_follows_the_size(spark):
     assert store.layout_for(spark, 1 << 40, buckets=7, term_parts=3) == store.Layout(7, 3)
 
 
+def test_buckets_stay_small_as_a_corpus_grows(spark):
+    for text_bytes in (1 << 30, 10 << 30):
+        assert text_bytes / store.layout_for(spark, text_bytes).buckets <= 16 << 20
+    most = store.layout_for(spark, 10 << 40)
+    assert most.buckets <= int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+
+
+def test_parts_follow_the_texts(spark, tmp_path, monkeypatch):
+    docs, queries = frames(spark)
+    build_index(docs, str(tmp_path), "arxiv", buckets=3)
+    monkeypatch.setattr(grams, "PART_BYTES", 8)
+    monkeypatch.setattr(plans, "PART_BYTES", 8)
+    n_bytes = sum(len((text or "").encode()) for _, text in DOCS)
+    n_parts = grams.term_counts(docs, "bigram").rdd.getNumPartitions()
+    assert n_parts >= n_bytes / 8 > 4
+    assert grams.term_presence(docs, "unigram").rdd.getNumPartitions() == n_parts
+    build_index(docs, str(tmp_path), "cut", buckets=3)  # several files for each bucket
+    found = [sorted(map(tuple, search(spark, queries, str(tmp_path), c).collect())) for c in ("arxiv", "cut")]
+    assert found[0] == found[1]
+
+
+def test_a_merged_segment_has_buckets_for_all_its_documents(spark, tmp_path, monkeypatch):
+    docs, queries = frames(spark)
+    base = str(tmp_path)
+    build_index(docs, base, "whole")
+    build_index(docs.where("doc_id % 2 = 0"), base, "halves")
+    append_index(docs.where("doc_id % 2 = 1"), base, "halves")
+    monkeypatch.setattr(store, "PART_BYTES", 8)
+    assert compact_index(spark, base, "halves").segments[0].buckets > store.read_manifest(spark, base, "whole").segments[0].buckets
+    found = [sorted(map(tuple, search(spark, queries, base, c).collect())) for c in ("whole", "halves")]
+    assert found[0] == found[1]
+
+
+def test_cosine_scores_has_all_pairs_with_a_term_in_common(spark, tmp_path):
+    spark.createDataFrame([(i, "cell study") for i in range(6)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, "cell"), (9, "study")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = {(r.query_id, r.doc_id) for r in registered.cosine_scores(spark, str(tmp_path)).collect()}
+    assert found == {(q, d) for q in (7, 9) for d in range(6)}
+
+
 def test_a_large_vocabulary_is_joined_by_shuffles(spark, tmp_path, monkeypatch):
     docs, queries = frames(spark)
     build_index(docs, str(tmp_path), "small", ["unigram"])
