@@ -60,9 +60,10 @@ def doc_freq(spark, sf_dir):
 
 def doc_norms(spark, sf_dir):
     docs = inputs.documents(spark, sf_dir)
-    counts = materialise(grams.term_counts(docs, "unigram"), "counts")
+    parts = grams.text_parts(docs)
+    counts = materialise(grams.term_counts(docs, "unigram", parts=parts), "counts")
     terms = materialise(weights.term_table(counts, weights.document_count(docs)), "terms")
-    return _rounded(weights.document_norms(weights.with_idf(counts, terms)), "norm_freq", "norm_binary", "norm_tfidf")
+    return _rounded(weights.document_norms(weights.with_idf(counts, terms, parts)), "norm_freq", "norm_binary", "norm_tfidf")
 
 
 # ---- search
@@ -76,13 +77,11 @@ def query_vectors(spark, sf_dir):
 
 
 def cosine_scores(spark, sf_dir):
-    """Scores of given pairs: every document with one of the queries, dealt in turn."""
+    """Every query against every document with a term in common."""
     docs, queries = inputs.documents(spark, sf_dir), inputs.queries(spark, sf_dir)
     postings, terms = build_index.feature_tables(docs, "unigram", weightings=("tfidf",))
     vectors = similarity.query_vectors(queries, terms, "unigram", "tfidf")
-    n_queries = queries.agg(F.count(F.lit(1))).scalar()
-    pairs = docs.select(F.pmod(F.col("doc_id"), n_queries).alias("query_id"), "doc_id")
-    return _rounded(similarity.pair_scores(pairs, vectors, postings, "tfidf"), "score")
+    return _rounded(similarity.cosine_scores(vectors, postings, "tfidf", terms), "score")
 
 
 def _search(spark, sf_dir, feature, weighting, padded=False):
