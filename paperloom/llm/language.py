@@ -14,11 +14,13 @@ from paperloom.llm.common import by_rows, check_kept
 DIMENSIONS = 1024
 SEED = 20
 CACHED_GRAMS = 60_000
-DOCUMENTS_PER_LANGUAGE = 1500  # bound of the labelled sample that the prototypes are built from
+GATHERED = 1024  # vectors of a text's trigrams that are added up at a time
+FRACTION = 30  # binary places of the whole numbers that profiles are added up as
+BINS = 10_000  # cosines are counted in bins of this fineness
 UNDETERMINED = "und"
 BATCH_TEXTS = 256
 ENOUGH_GRAMS = 40  # distinct trigrams of a text that can be told from noise
-ORDINARY = 0.01  # share of the labelled sample that may be further from its own language than ordinary texts
+ORDINARY = 0.01  # share of the labelled texts that may be further from its own language than ordinary texts
 GAP = 32  # stands for any run of characters other than letters
 
 
@@ -35,12 +37,12 @@ class GramSpace:
     def forget(self) -> None:
         self.codes = np.zeros(0, "int64")
         self.rows = np.zeros(0, "int64")
-        self.vectors = np.zeros((1024, self.dimensions), "float32")
+        self.vectors = np.zeros((1024, self.dimensions), "int8")
 
     def letter(self, code: int) -> np.ndarray:
         if code not in self.letters:
             bits = np.random.default_rng([SEED, code]).integers(0, 2, self.dimensions)
-            self.letters[code] = (2 * bits - 1).astype("float32")
+            self.letters[code] = (2 * bits - 1).astype("int8")
         return self.letters[code]
 
     def trigrams(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +89,9 @@ class GramSpace:
         if not len(grams):
             return None, 0
         rows = self.places(grams)  # may move `vectors`
-        bundle = counts.astype("float32") @ self.vectors[rows]
+        bundle, weights = np.zeros(self.dimensions, "float32"), counts.astype("float32")
+        for at in range(0, len(rows), GATHERED):  # whole numbers, so the parts add up exactly
+            bundle += weights[at : at + GATHERED] @ self.vectors[rows[at : at + GATHERED]].astype("float32")
         length = float(np.linalg.norm(bundle))
         return bundle / length if length else bundle, len(grams)
 
@@ -118,21 +122,22 @@ def _sample(
     return wanted.join(F.broadcast(sample), "id", "left_semi")
 
 
+def _labelled(docs: DataFrame, usable: Column, text_col: str, lang_col: str) -> DataFrame:
+    """(lang, text) of all documents that may be learned from."""
+    rows = docs.where(usable & F.col(lang_col).isNotNull())
+    return rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+
+
 def train_languages(
-    docs: DataFrame,
-    usable: Column,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    lang_col: str = "lang",
-    per_language: int = DOCUMENTS_PER_LANGUAGE,
+    docs: DataFrame, usable: Column, text_col: str = "text", lang_col: str = "lang"
 ) -> LanguageModel:
-    """Prototypes from a sample of at most `per_language` labelled documents of each language.
+    """Prototypes from all labelled documents where `usable` holds.
 
-    The sample is chosen by a hash of the id among the rows where `usable`
-    holds. Each task sends the sum of its documents' profiles, so the driver
-    gets no more vectors than the sample has documents.
+    Each task adds up its documents' profiles and Spark the sums of the tasks,
+    so the driver gets one vector for each language. Profiles are added up as
+    whole numbers: the sums are the same however the rows are dealt to tasks.
     """
-    chosen = _sample(docs, usable, id_col, text_col, lang_col, per_language)
+    chosen = _labelled(docs, usable, text_col, lang_col)
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         space, total = GramSpace(), {}
@@ -140,16 +145,18 @@ def train_languages(
             for lang, text in zip(batch["lang"], batch["text"]):
                 profile = space.profile(text)
                 if profile is not None:
-                    total[lang] = total.get(lang, 0) + profile.astype("float64")
+                    whole = np.rint(profile.astype("float64") * (1 << FRACTION)).astype("int64")
+                    total[lang] = total.get(lang, 0) + whole
         if total:
-            yield pd.DataFrame({"lang": list(total), "bundle": [v.tobytes() for v in total.values()]})
+            yield pd.DataFrame({"lang": list(total), "bundle": list(total.values())})
 
-    # in a fixed order, so that sums of floats are the same in every run
-    parts = sorted((r["lang"], bytes(r["bundle"])) for r in chosen.mapInPandas(sums, "lang string, bundle binary").collect())
+    parts = chosen.mapInPandas(sums, "lang string, bundle array<bigint>")
+    places = parts.select("lang", F.posexplode("bundle").alias("place", "value"))
+    added = places.groupBy("lang", "place").agg(F.sum("value").alias("value"))
     bundles: dict[str, np.ndarray] = {}
-    for lang, raw in parts:
-        bundles[lang] = bundles.get(lang, 0) + np.frombuffer(raw, "float64")
-    names = sorted(bundles)
+    for row in added.collect():  # one vector for each language
+        bundles.setdefault(row["lang"], np.zeros(DIMENSIONS))[row["place"]] = row["value"]
+    names = sorted(n for n in bundles if bundles[n].any())
     vectors = np.array([bundles[n] / np.linalg.norm(bundles[n]) for n in names], "float32").reshape(-1, DIMENSIONS)
     return LanguageModel(names, vectors)
 
@@ -158,15 +165,14 @@ def ordinary_cosine(
     docs: DataFrame,
     usable: Column,
     model: LanguageModel,
-    id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
-    per_language: int = DOCUMENTS_PER_LANGUAGE,
 ) -> float:
-    """A cosine well below those of texts in the learned languages: half of what all but ORDINARY of the sample reach.
+    """A cosine well below those of texts in the learned languages: half of what all but ORDINARY of the labelled texts reach.
 
-    The sample is the one of `train_languages`; only texts with ENOUGH_GRAMS
-    trigrams are measured, each against its own language. 0 without any.
+    All labelled texts where `usable` holds and with ENOUGH_GRAMS trigrams are
+    measured, each against its own language, and counted in bins; the lower
+    end of a bin stands for its cosines. 0 without any.
     """
     at = {name: i for i, name in enumerate(model.languages)}
 
@@ -180,9 +186,14 @@ def ordinary_cosine(
                     found.append(float(model.prototypes[at[lang]] @ profile))
             yield pd.DataFrame({"cosine": found}, dtype="float64")
 
-    chosen = _sample(docs, usable, id_col, text_col, lang_col, per_language)
-    found = chosen.mapInPandas(measure, "cosine double").toPandas()["cosine"]  # no more numbers than the sample has rows
-    return max(0.0, float(np.quantile(found, ORDINARY)) / 2) if len(found) else 0.0
+    found = _labelled(docs, usable, text_col, lang_col).mapInPandas(measure, "cosine double")
+    bins = found.groupBy(F.floor(F.col("cosine") * BINS).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counted = sorted((r["bin"], r["n"]) for r in bins.collect())  # 2 * BINS rows and a few at most
+    if not counted:
+        return 0.0
+    reached = np.cumsum([n for _, n in counted])
+    at = int(np.searchsorted(reached, ORDINARY * reached[-1], side="right"))
+    return max(0.0, counted[at][0] / BINS / 2)
 
 
 def identify_languages(

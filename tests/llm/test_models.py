@@ -139,3 +139,35 @@ def test_odd_rows_have_a_score(spark, corpus, odd_docs, no_docs):
 def test_sentences():
     text = "One. Two! three\nfour?five"
     assert [text[a:b].strip() for a, b in sentences(text)] == ["One", "Two", "three", "four", "five"]
+
+
+def test_languages_are_learned_from_all_labelled_texts(spark):
+    """1,700 texts of one language, where a sample of 1,500 misses some."""
+    import numpy as np
+    from paperloom.llm.language import GramSpace, ordinary_cosine, train_languages
+
+    texts = ["".join(chr(97 + (i * k) % 26) for k in range(3, 20)) for i in range(1700)]
+    docs = spark.createDataFrame([(i, t, "xx") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    space = GramSpace()
+    whole = np.sum([space.profile(t).astype("float64") for t in texts], axis=0)
+    models = [train_languages(docs.repartition(n), F.lit(True)) for n in (1, 5)]
+    assert np.abs(models[0].prototypes[0] - whole / np.linalg.norm(whole)).max() < 1e-6
+    assert (models[0].prototypes == models[1].prototypes).all()
+    long = docs.where("doc_id < 300").withColumn("text", F.concat_ws(" ", "text", F.lit("the quick brown fox jumps over the lazy dog again and again")))
+    cosines = sorted(float(models[0].prototypes[0] @ space.profile(r.text)) for r in long.collect())
+    assert abs(ordinary_cosine(long, F.lit(True), models[0]) - max(0.0, cosines[3]) / 2) <= 1e-4
+
+
+def test_a_long_text_gathers_few_vectors_at_a_time():
+    """The bundle is the exact sum of the vectors of all trigrams, which take a byte a dimension."""
+    import random
+    import numpy as np
+    from paperloom.llm.language import GramSpace
+
+    space, rng = GramSpace(), random.Random(5)
+    text = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(1500))
+    grams, counts = space.trigrams(text)
+    rows = space.places(grams)
+    bundle = sum(int(n) * space.vectors[row].astype("int64") for row, n in zip(rows, counts))
+    assert len(grams) > 3000 and space.vectors.dtype == np.int8
+    assert np.abs(space.profile(text) - bundle / np.linalg.norm(bundle)).max() < 1e-6
