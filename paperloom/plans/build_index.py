@@ -19,6 +19,8 @@ from paperloom.plans.build_corpus import normalized_corpus
 from paperloom.session import materialise, scratch
 from paperloom.sources import index_store as store
 
+KEY_MARK = "\x01"  # between a feature's name and a term; neither holds it
+
 
 def corpus_texts(articles: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """(doc_id, text) from an article table: title and abstract in one text."""
@@ -87,19 +89,23 @@ def _publish(spark: SparkSession, base: str, corpus: str, segments, features, le
 def _with_idf(postings: DataFrame, terms: DataFrame, n_docs: int, parts: int) -> DataFrame:
     """(doc_id, feature, tf, idf) of postings.
 
-    Most terms are in one document only. If the others are measured to be
-    small, they go to the postings, which stay with their documents, and what
-    finds no idf there is a term of one document. Otherwise frequent terms meet
-    a bounded broadcast and the rest a shuffle.
+    Most terms are in one document only: what finds no idf is such a term. If
+    the others are measured to be small, they go to the postings, which stay
+    with their documents. Otherwise frequent ones meet a bounded broadcast and
+    the rest a shuffle, to which terms of one document send nothing.
     """
     shared = terms.where("df > 1")
     size = shared.agg(F.coalesce(F.sum(F.octet_length("term") + 96), F.lit(0)).alias("bytes")).first()["bytes"]
     if size <= MAX_BROADCAST_BYTES:
         known = postings.join(F.broadcast(shared.select("feature", "term", "idf")), ["feature", "term"], "left")
         return known.withColumn("idf", F.coalesce("idf", smooth_idf(F.lit(1), F.lit(n_docs))))
-    known = terms.select(F.struct("feature", "term").alias("key"), "df", "idf")
-    keyed = postings.select("doc_id", "feature", "tf", F.struct("feature", "term").alias("key"))
-    return lookup_join(keyed, known.select("key", "idf"), "key", counts=known.select("key", F.col("df").alias("n_rows")), parts=parts)
+    # one string as the key and counts instead of doubles: rows of half the size
+    key = F.concat("feature", F.lit(KEY_MARK), "term").alias("key")
+    known = shared.select(key, "df")
+    sizes = known.select("key", F.col("df").alias("n_rows"))
+    found = lookup_join(postings.select("doc_id", "tf", key), known, "key", "left", counts=sizes, parts=parts)
+    idf = smooth_idf(F.coalesce("df", F.lit(1)), F.lit(n_docs))
+    return found.select("doc_id", F.substring_index("key", KEY_MARK, 1).alias("feature"), "tf", idf.alias("idf"))
 
 
 def build_index(
