@@ -2,6 +2,7 @@ import os
 import random
 from collections import Counter
 
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -41,6 +42,35 @@ def test_stages_over_odd_rows(spark, odd_docs, tmp_path):
     assert docs.count() > 0
 
 
+def test_a_worker_gets_little_text_at_a_time(spark, tmp_path, monkeypatch):
+    """A split of texts is not one batch, neither in rows nor in bytes, and the session is as before after a run."""
+    for key in corpus_pipeline.BATCHES:  # earlier tests may have run a stage
+        spark.conf.unset(key)
+    rows = [(i, "ab cd " * (20_000 if i % 20 else 1), "en", "s", 1) for i in range(100)] + [(i, "ab", "en", "s", 1) for i in range(100, 4000)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema).coalesce(1)
+
+    def sizes(batches):
+        for b in batches:
+            yield pd.DataFrame({"n": [len(b)], "size": [int(b["text"].str.len().sum())]})
+
+    def stage(spark, docs, sf_dir):
+        return docs.mapInPandas(sizes, "n long, size long")
+
+    try:
+        found = corpus_pipeline.in_small_batches(stage)(spark, docs, SF_DIR).collect()
+    finally:
+        for key in corpus_pipeline.BATCHES:
+            spark.conf.unset(key)
+    assert sum(r.n for r in found) == len(rows)
+    assert max(r.n for r in found) <= 1024 and max(r["size"] for r in found) <= 5 << 20
+    assert all(hasattr(run, "__wrapped__") for _, run in corpus_pipeline.STAGES)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("sizes", corpus_pipeline.in_small_batches(stage))])
+    assert max(r.n for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) <= 1024
+    assert all(spark.conf.get(key, None) is None for key in corpus_pipeline.BATCHES)
+
+
 def test_noise_and_foreign_texts_go_and_clean_ones_stay(spark):
     rng = random.Random(3)
     syllables = {"aa": ["ka", "ri", "to", "mun", "el"], "bb": ["ost", "vre", "zug", "hin", "pf"]}
