@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import sys
 from array import array
 from functools import lru_cache
 
 import numpy as np
 
-CACHED_CHUNKS = 400_000  # encoded chunks that a task remembers; then only the earliest, mostly frequent ones stay
-KEPT_CHUNKS = 100_000
+CACHED_CHUNKS = 600_000  # encoded chunks that a task remembers, some 150 bytes each; then only the earliest, mostly frequent ones stay
+KEPT_CHUNKS = 300_000
 LONGEST_CACHED = 40
-STOPS = ".,;:!?"
+SIGNS = string.punctuation  # neither letters nor digits nor white space in any version of the character tables
 LAST_SIMPLE_LETTER = "\u0530"  # Latin, Greek and Cyrillic: letters in every version of the character tables
 SPACE_AFTER_SPACE = re.compile(r"\s\s")
 BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
@@ -33,7 +34,7 @@ def byte_symbols() -> dict[int, str]:
 class ChunkIds(dict):
     """Ids of chunks that begin with `prefix`, as little-endian bytes; a missing chunk is encoded when asked for.
 
-    A word of letters alone and the stops behind it are matched separately by
+    A word of letters alone and the signs behind it are matched separately by
     the split pattern, so they are looked up separately, and the word goes to
     the merges of the file's model without being split again.
     """
@@ -61,7 +62,7 @@ class ChunkIds(dict):
             else:
                 found = self.packed(self.whole(self.prefix + chunk, add_special_tokens=False).ids)
         else:
-            word = chunk.rstrip(STOPS)
+            word = chunk.rstrip(SIGNS)
             if self.plain is not None and word.isalpha() and len(word) < len(chunk):
                 found = self[word] + self.plain[chunk[len(word) :]]
             else:

@@ -53,6 +53,18 @@ def test_strings_of_added_tokens_are_their_ids(library, chunked):
         assert chunked.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_signs_behind_a_word_are_looked_up_apart(library):
+    """The library is asked once for each run of signs, not once for each word that stands before one."""
+    encoder, asked = ByteLevelEncoder(BPE), []
+    for chunks in (encoder.first, encoder.spaced):
+        chunks.whole = lambda text, **kw: asked.append(text) or library.encode(text, **kw)
+    words = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrst"]
+    signs = ["***", "'", ".%%%", "<|", "$"]
+    text = "".join(f" {w}{sign}" for w in words for sign in signs)
+    assert encoder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert sorted(x for x in asked if x != "\n") == sorted(signs)
+
+
 def test_long_texts_are_cut():
     encoding = rank_encoding(RANKS, public_tokenizers.PATTERN)
     text = "some words and  more\n" * 9000
