@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 SHUFFLE_KEY = "spark.sql.shuffle.partitions"
+SCAN_KEY = "spark.sql.files.minPartitionNum"
 _local_folder: str | None = None  # of local sessions without that setting
 _run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
 
@@ -78,24 +79,29 @@ def scratch(spark: SparkSession, label: str = "run") -> Iterator[str]:
 
 @contextmanager
 def shuffles_of(spark: SparkSession, parts: int | None) -> Iterator[None]:
-    """Shuffles of what is written within the block have no fewer tasks than `parts`; the session's own number comes back.
+    """Shuffles and scans of what is written within the block have no fewer tasks than `parts`; the session's own numbers come back.
 
     For sums by term: dealt out by `repartition` they would lose the combining
-    before the shuffle. A result that is computed later is not reached.
+    before the shuffle, and what a task combines grows with the files it scans,
+    up to 128 MB of them. A result that is computed later is not reached.
     """
-    before = spark.conf.get(SHUFFLE_KEY)
-    wider = parts is not None and int(before) < parts
-    if wider:
-        spark.conf.set(SHUFFLE_KEY, str(parts))
+    scans = int(spark.conf.get(SCAN_KEY, None) or spark.sparkContext.defaultParallelism)
+    before = {SHUFFLE_KEY: spark.conf.get(SHUFFLE_KEY), SCAN_KEY: spark.conf.get(SCAN_KEY, None)}
+    wider = [] if parts is None else [k for k, n in ((SHUFFLE_KEY, int(before[SHUFFLE_KEY])), (SCAN_KEY, scans)) if n < parts]
+    for key in wider:
+        spark.conf.set(key, str(parts))
     try:
         yield
     finally:
-        if wider:
-            spark.conf.set(SHUFFLE_KEY, before)
+        for key in wider:
+            if before[key] is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, before[key])
 
 
 def materialise(df: DataFrame, label: str, parts: int | None = None) -> DataFrame:
-    """Write an intermediate table once and read it back; its shuffles have no fewer tasks than `parts`.
+    """Write an intermediate table once and read it back; its shuffles and scans have no fewer tasks than `parts`.
 
     Later stages re-read files instead of recomputing the lineage, also after
     executors are lost, and columns they do not need are never decoded.
