@@ -96,4 +96,4 @@ def document_norms(counts_idf: DataFrame, by=("doc_id",)) -> DataFrame:
 
 def vocabulary(counts: DataFrame, parts: int | None = None) -> DataFrame:
     """(term, term_idx, df): distinct terms numbered in code-point order; `parts` as for `document_frequencies`."""
-    return numbered(document_frequencies(counts, parts), "term", "term_idx").select("term", "term_idx", "df")
+    return numbered(document_frequencies(counts, parts), "term", "term_idx", parts).select("term", "term_idx", "df")
